@@ -14,7 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-MODULES = ["scalars"]
+MODULES = ["scalars", "projections", "lookups", "joins", "summaries", "ordering"]
 
 
 def query(key: str, sql: str | None = None) -> Callable[[Query], Query]:

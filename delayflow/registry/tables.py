@@ -7,12 +7,21 @@ in Spark and left as they are in the SQL twins.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delayflow.operators.projection import extract_features, filter_not_null_delays, project_features
+from delayflow.functions.times import request_date_parts
+from delayflow.operators.joins import enrich_distance, key_distances
+from delayflow.operators.projection import (
+    extract_features,
+    filter_not_null_delays,
+    project_features,
+)
+from delayflow.operators.summaries import route_avg_distance
 from delayflow.sources.readers import scan_parquet
+from delayflow.workspace import materialize
 
 VIEWS = {
     "flights": """
@@ -119,7 +128,11 @@ FROM {requests} r LEFT JOIN {distances} d ON r.Origin = d.Origin AND r.Dest = d.
 """,
 }
 
-_WEEKDAY = {"spark": "weekday(CAST(l.l_shipdate AS DATE)) + 1", "sql": "isodow(CAST(l.l_shipdate AS DATE))"}
+# Monday = 1 in either engine.
+_WEEKDAY = {
+    "spark": "weekday(CAST(l.l_shipdate AS DATE)) + 1",
+    "sql": "isodow(CAST(l.l_shipdate AS DATE))",
+}
 
 
 def _needed(sql: str) -> list[str]:
@@ -174,3 +187,30 @@ def comparable(df: DataFrame) -> DataFrame:
     """Instants without a zone, as the SQL twins have them."""
     names = [f.name for f in df.schema.fields if f.dataType.typeName() == "timestamp"]
     return df.withColumns({n: F.col(n).cast("timestamp_ntz") for n in names}) if names else df
+
+
+_stored: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A derived table that several queries start from, written once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _stored:
+        _stored[key] = materialize(build(), name)
+    return _stored[key]
+
+
+def distances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distance per pair of airports, from the flights."""
+    return key_distances(route_avg_distance(flights(spark, sf_dir)))
+
+
+def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests as they are published: with distance and date parts."""
+
+    def build() -> DataFrame:
+        requests = request_date_parts(view(spark, sf_dir, "requests"), monday=1)
+        joined = enrich_distance(requests, distances(spark, sf_dir))
+        return joined.withColumn("Distance", F.col("Distance").cast("double"))
+
+    return stored(spark, sf_dir, "enriched", build)
