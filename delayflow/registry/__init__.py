@@ -14,7 +14,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-MODULES = ["scalars", "projections", "lookups", "joins", "summaries", "ordering"]
+MODULES = [
+    "scalars", "projections", "lookups", "joins", "summaries", "ordering", "sources", "learning",
+    "streams", "jobs",
+]
 
 
 def query(key: str, sql: str | None = None) -> Callable[[Query], Query]:

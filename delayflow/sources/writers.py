@@ -28,7 +28,7 @@ def lakehouse_create_or_replace(
 
     ``using`` names the format of a versioned catalog (say ``iceberg``), which swaps
     the table atomically and keeps its files as Parquet. Without it the table is a
-    Parquet table of the session catalog, placed at ``location`` if one is given.
+    Parquet table of the session catalog; a new database is put at ``location``.
     """
     spark = df.sparkSession
     name = f"{database}.{table}"
@@ -37,11 +37,9 @@ def lakehouse_create_or_replace(
         writer = df.writeTo(name).using(using)
         writer.tableProperty("write.format.default", "parquet").createOrReplace()
         return name
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    writer = df.write.format("parquet").mode("overwrite")
-    if location:
-        writer = writer.option("path", location)
-    writer.saveAsTable(name)
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
+    df.write.format("parquet").mode("overwrite").saveAsTable(name)
     return name
 
 
