@@ -5,34 +5,38 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The hour that stands for midnight and the time it is read as.
-MIDNIGHT_HOUR = "24"
-MIDNIGHT_TIME = "23:59"
+# The hour that stands for midnight and the minute of day it is read as (23:59).
+MIDNIGHT_HOUR = 24
+MIDNIGHT_MINUTE = 1439
 
 SECONDS_PER_DAY = 86_400
 
 
-def hhmm_to_time(hhmm: Column) -> Column:
-    """``HHMM`` digits to ``HH:MM``; hour 24 reads as 23:59, impossible times as NULL."""
-    digits = F.lpad(hhmm, 4, "0")
-    hour, minute = F.substring(digits, 1, 2), F.substring(digits, 3, 2)
-    possible = hhmm.rlike("^[0-9]{1,4}$") & (hour < "24") & (minute < "60")
-    return F.when(hour == MIDNIGHT_HOUR, F.lit(MIDNIGHT_TIME)).when(
-        possible, F.concat(hour, F.lit(":"), minute)
+def minute_of_day(hhmm: Column) -> Column:
+    """Minute of the day of ``HHMM`` digits; hour 24 is 23:59, impossible times are NULL."""
+    number = hhmm.try_cast("int")
+    hour = (number / 100).cast("int")
+    minute = number % 100
+    return F.when(hour == MIDNIGHT_HOUR, F.lit(MIDNIGHT_MINUTE)).when(
+        (number >= 0) & (hour < MIDNIGHT_HOUR) & (minute < 60), hour * 60 + minute
     )
 
 
+def hhmm_to_time(hhmm: Column) -> Column:
+    """``HHMM`` digits to ``HH:MM``, following ``minute_of_day``."""
+    minutes = minute_of_day(hhmm)
+    hour, minute = (minutes / 60).cast("int").cast("string"), (minutes % 60).cast("string")
+    return F.concat(F.lpad(hour, 2, "0"), F.lit(":"), F.lpad(minute, 2, "0"))
+
+
 def compose_timestamp(date: Column, hhmm: Column) -> Column:
     """Instant of a UTC date and an ``HHMM`` time.
 
-    Built by arithmetic on days and seconds: no text is parsed and the result does
+    Built by arithmetic on days and minutes: no text is parsed and the result does
     not depend on the session time zone.
     """
-    time = hhmm_to_time(hhmm)
-    seconds = (
-        F.substring(time, 1, 2).cast("long") * 3600 + F.substring(time, 4, 2).cast("long") * 60
-    )
-    return F.timestamp_seconds(F.unix_date(date.cast("date")).cast("long") * SECONDS_PER_DAY + seconds)
+    days = F.unix_date(date.cast("date")).cast("long")
+    return F.timestamp_seconds(days * SECONDS_PER_DAY + minute_of_day(hhmm) * 60)
 
 
 def overnight_rollover(departure: Column, arrival: Column) -> Column:

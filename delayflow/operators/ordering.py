@@ -34,16 +34,36 @@ def full_order(df: DataFrame, keys: Sequence[str], nulls_last: bool = False) ->
     return [F.col(c).asc_nulls_first() for c in names]
 
 
+def sort_stored(stored: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+    """A stored table in a global order, whatever its size and number of equal rows.
+
+    Equal rows would all fall into one range of the sort's shuffle. The number a row has
+    in the stored table tells copies apart and lets a range end between them.
+    """
+    numbered = stored.withColumn("_copy", F.monotonically_increasing_id())
+    return numbered.orderBy(*order, "_copy").drop("_copy")
+
+
+def sort_rows(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+    """Rows in a global order.
+
+    A sort samples its input for the ranges before it shuffles it; storing the input
+    saves computing it twice.
+    """
+    return sort_stored(materialize(df, "unsorted"), order)
+
+
 def sort_features(df: DataFrame) -> DataFrame:
-    return df.orderBy(*full_order(df, FEATURE_ORDER))
+    return sort_rows(df, full_order(df, FEATURE_ORDER))
 
 
 def sort_by_month(df: DataFrame) -> DataFrame:
+    """Monthly totals in order; there are few of them."""
     return df.orderBy(*full_order(df, ["Year", "Month"]))
 
 
 def sort_by_dep_arr(df: DataFrame) -> DataFrame:
-    return df.orderBy(*full_order(df, ["DepTime", "ArrTime"]))
+    return sort_rows(df, full_order(df, ["DepTime", "ArrTime"]))
 
 
 def longest_shortest_routes(routes: DataFrame, n: int, longest: bool = True) -> DataFrame:
@@ -69,7 +89,7 @@ def number_rows(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     partitioned; an id holds the partition and the place within it, and only one
     count per partition is summed up to turn places into positions.
     """
-    ordered = df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id())
+    ordered = sort_rows(df, order).withColumn("_id", F.monotonically_increasing_id())
     stored = materialize(ordered, "ordered")
     partition = F.shiftright("_id", 33).cast("int")
     place = F.col("_id").bitwiseAND((1 << 33) - 1)
@@ -97,9 +117,9 @@ def page_by(df: DataFrame, order: Sequence[Column], start: int, size: int) -> Da
     if start + size <= TOP_K_ROWS:
         return df.orderBy(*order).offset(start).limit(size)
     numbered = number_rows(df, order, "_position")
-    return numbered.filter(
-        (F.col("_position") >= start) & (F.col("_position") < start + size)
-    ).drop("_position")
+    place = F.col("_position")
+    page = numbered.filter((place >= start) & (place < start + size))
+    return page.orderBy("_position").drop("_position")
 
 
 def page_flights(df: DataFrame, start: int = 0, size: int = FLIGHTS_PER_PAGE) -> DataFrame:

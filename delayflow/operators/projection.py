@@ -61,24 +61,30 @@ def sample_bernoulli(
 
 
 def extract_features(df: DataFrame) -> DataFrame:
-    """Feature rows with real instants and date parts, in one projection."""
+    """Feature rows with real instants and date parts."""
     date = F.col("FlightDate").cast("date")
-    departure = compose_timestamp(date, F.col("CRSDepTime"))
-    arrival = compose_timestamp(date, F.col("CRSArrTime"))
-    return df.select(
+    # The instants come first, so that the rollover does not compute them again.
+    timed = df.withColumns(
+        {
+            "FlightDate": date,
+            "CRSDepTime": compose_timestamp(date, F.col("CRSDepTime")),
+            "CRSArrTime": compose_timestamp(date, F.col("CRSArrTime")),
+        }
+    )
+    return timed.select(
         "FlightNum",
-        date.alias("FlightDate"),
+        "FlightDate",
         F.col("DayOfWeek").cast("int").alias("DayOfWeek"),
         F.col("DayOfMonth").cast("int").alias("DayOfMonth"),
-        day_of_year(date).alias("DayOfYear"),
+        day_of_year(F.col("FlightDate")).alias("DayOfYear"),
         "Carrier",
         "Origin",
         "Dest",
         "Distance",
         "DepDelay",
         "ArrDelay",
-        departure.alias("CRSDepTime"),
-        overnight_rollover(departure, arrival).alias("CRSArrTime"),
+        "CRSDepTime",
+        overnight_rollover(F.col("CRSDepTime"), F.col("CRSArrTime")).alias("CRSArrTime"),
     )
 
 

@@ -160,8 +160,12 @@ def with_views(sql: str) -> str:
     return "WITH " + ",\n".join(parts) + joiner + body
 
 
+# Near-unique key of the one large table, by which a small copy of it is spread.
+_SPREAD = {"lineitem": "l_orderkey"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return scan_parquet(spark, f"{sf_dir}/{name}.parquet")
+    return scan_parquet(spark, f"{sf_dir}/{name}.parquet", _SPREAD.get(name))
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

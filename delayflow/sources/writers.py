@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from delayflow.functions.text import to_json_record
 from delayflow.operators.joins import key_distances
+from delayflow.operators.ordering import sort_stored
 from delayflow.workspace import materialize
 
 # Rows up to which an ordered result goes into a single file.
@@ -61,7 +62,7 @@ def write_json_single(
     if stored.count() <= single_file_rows:
         ordered = stored.coalesce(1).sortWithinPartitions(*order)
     else:
-        ordered = stored.orderBy(*order)
+        ordered = sort_stored(stored, order)
     ordered.write.mode("overwrite").json(path, compression=compression)
 
 
@@ -72,14 +73,16 @@ def daily_partition_overwrite(
 
     With ``day`` the frame is that day's whole output: it replaces the directory even
     if it is empty. Without it the frame carries ``iso_date`` and replaces each day it
-    has rows for.
+    has rows for; rows are gathered by day before the write, to keep each day's files few, and
+    a day too large for one task is split.
     """
     if day is not None:
         target = f"{path}/{DAY_COLUMN}={day}"
         df.drop(DAY_COLUMN).write.format(file_format).mode("overwrite").save(target)
         return
     (
-        df.write.format(file_format)
+        df.hint("rebalance", DAY_COLUMN)
+        .write.format(file_format)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(DAY_COLUMN)
