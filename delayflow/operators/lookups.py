@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from delayflow.functions.text import search_tokens
 from delayflow.operators.ordering import full_order, page_by, page_flights, sort_by_dep_arr
-from delayflow.schemas import AIRPLANES_PER_PAGE, FLIGHTS_PER_PAGE
+from delayflow.schemas import AIRPLANES_PER_PAGE, DAY_COLUMN, FLIGHTS_PER_PAGE
 
 # Fields that can be searched.
 FLIGHT_TERMS = ["Carrier", "FlightDate", "Origin", "Dest", "TailNum", "FlightNum"]
@@ -93,10 +93,14 @@ def requests_in_day(
     """Requests of a day by comparing ISO text with the day and the day after.
 
     Both ends belong to the range: bare text of the next day matches too, text with
-    a time on it does not. ``half_open`` leaves the end out.
+    a time on it does not. ``half_open`` leaves the end out. A table kept by day is read
+    only for the day and its neighbours.
     """
+    day = F.lit(iso_day).cast("date")
+    if DAY_COLUMN in df.columns:
+        df = df.filter(F.col(DAY_COLUMN).between(F.date_sub(day, 1), F.date_add(day, 1)))
     moment, first = F.col(column), F.lit(iso_day)
-    last = F.date_format(F.date_add(F.lit(iso_day).cast("date"), 1), "yyyy-MM-dd")
+    last = F.date_format(F.date_add(day, 1), "yyyy-MM-dd")
     return df.filter((moment >= first) & ((moment < last) if half_open else (moment <= last)))
 
 

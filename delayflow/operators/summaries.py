@@ -48,15 +48,15 @@ def flights_by_month(df: DataFrame) -> DataFrame:
 
 
 def pack_documents(
-    items: DataFrame, key: str, fields: Sequence[str], name: str, max_items: int = DOCUMENT_ITEMS
+    stored: DataFrame, key: str, fields: Sequence[str], name: str, max_items: int = DOCUMENT_ITEMS
 ) -> DataFrame:
-    """Distinct items gathered into one array document per key.
+    """A stored table of distinct items gathered into one array document per key.
 
     A key with more than ``max_items`` items is spread by hash over ``Part``
     documents of about that size, so no task gathers an unbounded group. Keys are
-    spread only if some key needs it.
+    spread only if some key needs it. Both sides of that join are plain scans, which
+    lets adaptive execution split the partition of a hot key.
     """
-    stored = materialize(items.select(key, *fields), "items")
     large = stored.groupBy(key).agg(F.count("*").alias("_items")).filter(F.col("_items") > max_items)
     large = materialize(large.withColumn("_parts", F.ceil(F.col("_items") / max_items)), "large")
     if large.isEmpty():
@@ -73,9 +73,9 @@ def manufacturer_totals(df: DataFrame, packed: bool = False) -> DataFrame:
     totals = df.groupBy("Manufacturer").agg(F.count("*").alias("Total"))
     if not packed:
         return totals
-    return pack_documents(
-        totals.withColumn("chart", F.lit("manufacturers")), "chart", ["Manufacturer", "Total"], "data"
-    ).select("Part", "data")
+    bars = materialize(totals.withColumn("chart", F.lit("manufacturers")), "totals")
+    packed_bars = pack_documents(bars, "chart", ["Manufacturer", "Total"], "data")
+    return packed_bars.select("Part", "data")
 
 
 def airplanes_per_carrier(df: DataFrame, max_items: int = DOCUMENT_ITEMS) -> DataFrame:
@@ -95,7 +95,8 @@ def flights_per_airplane(df: DataFrame, max_items: int = DOCUMENT_ITEMS) -> Data
     """
     fields = ["Carrier", "FlightDate", "FlightNum", "Origin", "Dest"]
     flights = df.groupBy("TailNum", *fields).agg(F.count("*").alias("Copies"))
-    return pack_documents(flights, "TailNum", [*fields, "Copies"], "Flights", max_items)
+    stored = materialize(flights, "flights")
+    return pack_documents(stored, "TailNum", [*fields, "Copies"], "Flights", max_items)
 
 
 def delay_histogram(df: DataFrame, column: str, width: float) -> DataFrame:

@@ -26,14 +26,14 @@ from delayflow.operators.projection import (
     sample_bernoulli,
 )
 from delayflow.operators.summaries import null_counts, prediction_distribution
-from delayflow.schemas import BATCH_REQUEST_SCHEMA
+from delayflow.schemas import BATCH_REQUEST_SCHEMA, DAY_COLUMN, NUMERIC_FEATURES
 from delayflow.sources.readers import (
     read_text_parse_json,
     scan_catalog_table,
     scan_json_schema,
     scan_parquet,
 )
-from delayflow.sources.writers import DAY_COLUMN, append_results, write_json_single, write_json_text
+from delayflow.sources.writers import append_results, write_json_single, write_json_text
 from delayflow.streaming.sinks import BatchWriter, stream_fanout
 from delayflow.streaming.sources import stream_source_requests
 from delayflow.streaming.transforms import stream_parse_requests, stream_score
@@ -142,10 +142,17 @@ def job_stream_predict(
     model: PipelineModel,
     checkpoint: str,
     trigger: Mapping | None = None,
+    rejects: BatchWriter | None = None,
 ) -> StreamingQuery:
-    """Requests from a stream, scored once and handed to all writers, until stopped."""
+    """Requests from a stream, scored once and handed to all writers, until stopped.
+
+    A request that lacks an id or a number of the feature vector is still scored, as
+    such numbers count as unknown; with ``rejects`` it goes there instead.
+    """
     requests = stream_parse_requests(stream_source_requests(spark, *source))
-    return stream_fanout(stream_score(model, requests), writers, checkpoint, trigger)
+    scored = stream_score(model, requests)
+    required = ["UUID", *NUMERIC_FEATURES]
+    return stream_fanout(scored, writers, checkpoint, trigger, rejects, required)
 
 
 def batch_results_report(df: DataFrame, day: str) -> DataFrame:

@@ -8,7 +8,12 @@ from pyspark.sql import functions as F
 from delayflow.operators.summaries import route_avg_distance
 from delayflow.registry import query
 from delayflow.registry.tables import comparable, enriched, features, flights, view
-from delayflow.schemas import BATCH_REQUEST_SCHEMA, FEATURE_SCHEMA, STREAM_REQUEST_SCHEMA
+from delayflow.schemas import (
+    BATCH_REQUEST_SCHEMA,
+    DAY_COLUMN,
+    FEATURE_SCHEMA,
+    STREAM_REQUEST_SCHEMA,
+)
 from delayflow.sources import readers as R
 from delayflow.sources import writers as W
 from delayflow.workspace import new_path
@@ -135,7 +140,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     W.append_results(results.filter(day).drop("FlightDate"), path, "2024-01-15", idempotent=False)
     again = results.filter(day).drop("FlightDate").withColumn("run", F.lit(2))
     W.append_results(again, path, "2024-01-15", idempotent=False)
-    return spark.read.parquet(path).drop(W.DAY_COLUMN)
+    return spark.read.parquet(path).drop(DAY_COLUMN)
 
 
 @query("load_distance_dim", "SELECT * FROM distances")
@@ -163,4 +168,4 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     early = F.col("FlightDate") < F.lit("2024-01-15").cast("date")
     W.insert_prediction_task(requests.filter(early), path)
     W.insert_prediction_task(requests.filter(~early), path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).drop(DAY_COLUMN)

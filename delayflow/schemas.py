@@ -88,6 +88,9 @@ CATEGORY_COLUMNS = ["Carrier", "Origin", "Dest", "Route"]
 NUMERIC_FEATURES = ["DepDelay", "Distance", "DayOfMonth", "DayOfWeek", "DayOfYear"]
 INDEX_FEATURES = [f"{name}_index" for name in CATEGORY_COLUMNS]
 
+# Column that holds the day of a daily directory.
+DAY_COLUMN = "iso_date"
+
 # Page sizes.
 FLIGHTS_PER_PAGE = 15
 AIRPLANES_PER_PAGE = 5

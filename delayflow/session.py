@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# UTC keeps dates and ISO timestamps unambiguous; adaptive execution sizes the
+# UTC keeps dates and ISO timestamps unambiguous. Adaptive execution sizes the
 # shuffles, turns small sides into broadcasts by their measured size and splits
-# skewed join partitions.
+# skewed join partitions. Stream state lives on disk, so it may outgrow the heap.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 

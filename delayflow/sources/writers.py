@@ -10,13 +10,12 @@ from pyspark.sql import functions as F
 from delayflow.functions.text import to_json_record
 from delayflow.operators.joins import key_distances
 from delayflow.operators.ordering import sort_stored
+from delayflow.schemas import DAY_COLUMN
 from delayflow.workspace import materialize
 
 # Rows up to which an ordered result goes into a single file.
 SINGLE_FILE_ROWS = 1_000_000
 
-DAY_COLUMN = "iso_date"
-
 
 def lakehouse_create_or_replace(
     df: DataFrame,
@@ -119,5 +118,7 @@ def emit_requests(df: DataFrame, fmt: str, options: Mapping[str, str]) -> None:
 
 
 def insert_prediction_task(df: DataFrame, path: str) -> None:
-    """Append enriched requests to the task collection."""
-    df.write.mode("append").parquet(path)
+    """Append enriched requests to the task collection, one directory per request day."""
+    dated = df.withColumn(DAY_COLUMN, F.col("Timestamp").try_cast("date"))
+    gathered = dated.hint("rebalance", DAY_COLUMN)
+    gathered.write.mode("append").partitionBy(DAY_COLUMN).parquet(path)

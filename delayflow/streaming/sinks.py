@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -191,14 +192,23 @@ def stream_fanout(
     writers: Sequence[BatchWriter],
     checkpoint: str,
     trigger: Mapping | None = None,
+    rejects: BatchWriter | None = None,
+    required: Sequence[str] = (),
 ) -> StreamingQuery:
-    """One query that computes each micro-batch once and hands it to all writers."""
+    """One query that computes each micro-batch once and hands it to all writers.
+
+    With ``rejects``, rows that lack a ``required`` value go there and nowhere else.
+    """
+    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in required], F.lit(True))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
+            accepted = batch.filter(complete) if rejects else batch
             for writer in writers:
-                writer(batch, batch_id)
+                writer(accepted, batch_id)
+            if rejects:
+                rejects(batch.filter(~complete), batch_id)
         finally:
             batch.unpersist()
 

@@ -44,16 +44,21 @@ def stream_correlate(
     """Each request with the first response that came within ``bound`` of it.
 
     A request is held until the watermark shows that no response can come any more,
-    and then given out as WAIT; that is what bounds the state.
+    and then given out as WAIT; that is what bounds the state. Requests without id or
+    time can have no response: they are given out at once and kept out of the state,
+    where they would pile up under one key.
     """
+    pairable = F.col("UUID").isNotNull() & F.col(moment).isNotNull()
     answers = (
-        responses.filter(F.col("UUID").isNotNull())
+        responses.filter(pairable)
         .withWatermark(moment, watermark)
         .dropDuplicatesWithinWatermark(["UUID"])
         .withColumnsRenamed({"UUID": "_answer_to", moment: "_answered_at"})
     )
-    pending = requests.withWatermark(moment, watermark)
+    pending = requests.filter(pairable).withWatermark(moment, watermark)
     in_time = F.col("_answered_at").between(F.col(moment), F.col(moment) + F.expr(f"INTERVAL {bound}"))
     joined = pending.join(answers, (F.col("UUID") == F.col("_answer_to")) & in_time, "left_outer")
     status = F.when(F.col("_answer_to").isNotNull(), "OK").otherwise("WAIT")
-    return joined.withColumn("status", status).drop("_answer_to", "_answered_at")
+    paired = joined.withColumn("status", status).drop("_answer_to", "_answered_at")
+    alone = requests.filter(~pairable).withColumn("status", F.lit("WAIT"))
+    return paired.unionByName(alone, allowMissingColumns=True)

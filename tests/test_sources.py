@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from delayflow.registry.tables import features, flights, view
-from delayflow.operators.lookups import matching_flights
+from delayflow.operators.lookups import matching_flights, requests_in_day
 from delayflow.schemas import BATCH_REQUEST_SCHEMA, FEATURE_SCHEMA
 from delayflow.sources import readers as R
 from delayflow.sources import writers as W
@@ -151,7 +151,12 @@ def test_tasks_accumulate(spark, sf_dir, tmp_path):
     requests = view(spark, sf_dir, "requests")
     for _ in range(2):
         W.insert_prediction_task(requests, str(tmp_path / "tasks"))
-    assert spark.read.parquet(str(tmp_path / "tasks")).count() == 2 * requests.count()
+    tasks = spark.read.parquet(str(tmp_path / "tasks"))
+    assert tasks.count() == 2 * requests.count()
+    day = requests_in_day(tasks, "2024-01-15")
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(iso_date" in plan
+    assert day.count() == 2 * requests_in_day(requests, "2024-01-15").count()
 
 
 def test_intermediate_tables_go_to_the_shared_folder(spark, sf_dir):

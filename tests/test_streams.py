@@ -80,6 +80,19 @@ def test_fanout_writes_each_sink_once_per_batch(topic):
         assert sorted(json.loads(r.value)["UUID"] for r in values.collect()) == ["1", "2"]
 
 
+def test_incomplete_rows_go_to_the_rejects(topic):
+    topic.send(request("1", DepDelay=1.0), request("2"), "no json")
+    good, bad = topic.path("good"), topic.path("bad")
+    running = K.stream_fanout(
+        topic.requests(), [K.response_writer(good)], topic.path("c"), K.DRAIN,
+        rejects=K.response_writer(bad), required=["UUID", "DepDelay"],
+    )
+    finish(running)
+    found = {n: sorted(r.value for r in topic.spark.read.text(n).collect()) for n in (good, bad)}
+    assert [json.loads(v)["UUID"] for v in found[good]] == ["1"]
+    assert [json.loads(v).get("UUID") for v in found[bad]] == ["2", None]
+
+
 def test_failure_of_a_sink_stops_the_query_and_replay_adds_nothing(topic):
     topic.send(request("1"), request("2"))
     def fail(batch, batch_id):
@@ -141,7 +154,7 @@ def test_distance_is_added_on_the_stream(topic):
 def test_correlation_takes_the_first_response_in_time(topic):
     clock = "2024-01-01T00:{:02d}:00"
     topic.send(
-        request("answered"), request("late"), request("silent"),
+        request("answered"), request("late"), request("silent"), "no json", "nor this",
         request("last", Timestamp=clock.format(59)),
     )
     responses = topic.folder / "responses"
@@ -159,6 +172,7 @@ def test_correlation_takes_the_first_response_in_time(topic):
     found = topic.spark.read.schema("UUID string, status string, Prediction double").json(topic.path("o"))
     assert rows(found) == [
         ("answered", "OK", 1.0), ("last", "OK", 0.0), ("late", "WAIT", None), ("silent", "WAIT", None),
+        (None, "WAIT", None), (None, "WAIT", None),
     ]
 
 
