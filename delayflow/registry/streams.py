@@ -11,6 +11,7 @@ from delayflow.registry import query
 from delayflow.registry.learning import trained
 from delayflow.registry.tables import comparable, distances, enriched, stored, view
 from delayflow.sources.writers import emit_requests
+from delayflow.session import state_session
 from delayflow.streaming import sinks as K
 from delayflow.streaming import sources as S
 from delayflow.streaming import transforms as X
@@ -261,6 +262,8 @@ def _timed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     responses = _timed_responses(spark, sf_dir)
     path = responses.inputFiles()[0].rsplit("/", 1)[0]
-    arriving = spark.readStream.schema(responses.schema).parquet(path)
-    pairs = X.stream_correlate(parsed(spark, sf_dir), arriving)
+    request_lines(spark, sf_dir)
+    session = state_session(spark)
+    arriving = session.readStream.schema(responses.schema).parquet(path)
+    pairs = X.stream_correlate(parsed(session, sf_dir), arriving)
     return _drained(pairs.select("UUID", "Timestamp", "Prediction", "status"), "correlated")

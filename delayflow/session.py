@@ -18,6 +18,21 @@ SETTINGS = {
 }
 
 
+def state_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
+    """A session for stateful streams, on the same context.
+
+    State is kept in as many partitions as shuffles have, a number that stays with the
+    checkpoint and that adaptive execution cannot change. It follows the cluster's
+    parallelism here, unless it is given.
+    """
+    session = spark.newSession()
+    for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled"):
+        session.conf.set(key, spark.conf.get(key))
+    width = partitions or spark.sparkContext.defaultParallelism
+    session.conf.set("spark.sql.shuffle.partitions", str(width))
+    return session
+
+
 def build_session(app_name: str = "delayflow", master: str | None = None, **extra: str) -> SparkSession:
     """A session with the settings above; ``extra`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app_name)
