@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import FeatureHasher, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ from delayflow.operators.projection import derive_route, drop_rename_columns
 from delayflow.operators.summaries import accuracy
 from delayflow.schemas import CATEGORY_COLUMNS, INDEX_FEATURES, NUMERIC_FEATURES
 from delayflow.sources.writers import daily_partition_overwrite
+from delayflow.workspace import materialize
 
 # --- Fixed values: names and parameters of the model. ---
 ARRIVAL_SPLITS = (-15.0, 0.0, 30.0)
@@ -54,33 +55,51 @@ def bucketize_arrival_delay(
     return df.withColumn(output, arrival_class(F.col(column)))
 
 
+def category_counts(df: DataFrame, columns: Sequence[str] = CATEGORY_COLUMNS) -> DataFrame:
+    """Rows per value of each column, NULLs left out, from one pass.
+
+    Rows are first counted per combination of all columns, so the shuffle and the
+    unpivoting see combinations instead of rows.
+    """
+    combined = df.groupBy(*columns).agg(F.count("*").alias("n"))
+    cells = [
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns
+    ]
+    cells = combined.select("n", F.inline(F.array(*cells))).filter(F.col("value").isNotNull())
+    return cells.groupBy("column", "value").agg(F.sum("n").alias("n"))
+
+
 def fit_indexer(
     df: DataFrame,
     columns: Sequence[str] = CATEGORY_COLUMNS,
     max_categories: int = MAX_CATEGORIES,
-) -> StringIndexerModel:
-    """Indexer of several columns, most frequent value first, ties in text order.
+) -> PipelineModel:
+    """One indexer per column, most frequent value first, ties in text order.
 
-    Unseen values and NULLs get the index after the last. The number of values is
-    estimated first, since a model holds them all in memory.
+    Unseen values and NULLs get the index after the last. The library's own fit merges
+    the counts of all partitions in one task; here they are grouped by value, and only
+    the labels, once found to be few enough for a model, come to the driver.
     """
-    seen = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first().asDict()
-    large = {name: n for name, n in seen.items() if n > max_categories}
+    counts = materialize(category_counts(df, columns), "categories")
+    sizes = counts.groupBy("column").agg(F.count("*").alias("values")).collect()
+    large = {r["column"]: r["values"] for r in sizes if r["values"] > max_categories}
     if large:
         raise ValueError(f"too many values to index: {large}, limit {max_categories}")
-    indexer = StringIndexer(
-        inputCols=list(columns),
-        outputCols=[f"{c}_index" for c in columns],
-        stringOrderType="frequencyDesc",
-        handleInvalid="keep",
+    labels: dict[str, list[str]] = {c: [] for c in columns}
+    for row in counts.orderBy("column", F.col("n").desc(), "value").collect():
+        labels[row["column"]].append(row["value"])
+    return PipelineModel(
+        [
+            StringIndexerModel.from_labels(labels[c], c, f"{c}_index", handleInvalid="keep")
+            for c in columns
+        ]
     )
-    return indexer.fit(df)
 
 
 def string_index(
     df: DataFrame, columns: Sequence[str] = CATEGORY_COLUMNS
-) -> tuple[StringIndexerModel, DataFrame]:
-    """Replace categories by their indexes; also gives the fitted indexer."""
+) -> tuple[PipelineModel, DataFrame]:
+    """Replace categories by their indexes; also gives the fitted indexers."""
     model = fit_indexer(df, columns)
     return model, model.transform(df).drop(*columns)
 
@@ -110,7 +129,7 @@ def train_random_forest(df: DataFrame, seed: int = 27, max_bins: int | None = No
     labelled = bucketize_arrival_delay(derive_route(df))
     indexer = fit_indexer(labelled)
     if max_bins is None:
-        max_bins = max(DEFAULT_BINS, *[len(values) + 1 for values in indexer.labelsArray])
+        max_bins = max(DEFAULT_BINS, *[len(stage.labels) + 1 for stage in indexer.stages])
     vectors = assemble_features(indexer.transform(labelled)).select(FEATURES_COLUMN, LABEL_COLUMN)
     forest = RandomForestClassifier(
         featuresCol=FEATURES_COLUMN,
@@ -120,7 +139,7 @@ def train_random_forest(df: DataFrame, seed: int = 27, max_bins: int | None = No
         maxMemoryInMB=TREE_MEMORY_MB,
         seed=seed,
     ).fit(vectors)
-    return PipelineModel([indexer, feature_assembler("keep"), forest])
+    return PipelineModel([*indexer.stages, feature_assembler("keep"), forest])
 
 
 def model_save_load(model: PipelineModel, path: str) -> PipelineModel:

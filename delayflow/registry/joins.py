@@ -46,11 +46,12 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """WITH fleet AS (SELECT DISTINCT Carrier, TailNum FROM flights),
     counted AS (SELECT *, count(*) OVER (PARTITION BY Carrier) AS FleetCount FROM fleet)
     SELECT coalesce(a.CarrierCode, f.Carrier) AS CarrierCode, a.Name, a.url, a.domain, a.logo_url,
-      a.summary, f.FleetCount, f.TailNum
+      a.summary, coalesce(f.FleetCount, 0) AS FleetCount, f.TailNum
     FROM airlines a FULL JOIN counted f ON a.CarrierCode = f.Carrier""",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     profile = J.airline_profile(
         view(spark, sf_dir, "airlines"), airplanes_per_carrier(flights(spark, sf_dir))
     )
-    return profile.withColumn("TailNum", F.explode_outer("TailNumbers")).drop("TailNumbers", "Part")
+    flat = profile.withColumn("TailNum", F.explode_outer("TailNumbers")).drop("TailNumbers", "Part")
+    return flat.withColumn("FleetCount", F.coalesce("FleetCount", F.lit(0)))

@@ -107,14 +107,14 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "parse_json",
     """SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) AS k,
-    CAST(NULL AS INT) AS k_malformed FROM events""",
+    TRUE AS malformed_is_null FROM events""",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = StructType().add("k", "integer")
     parsed = text.parse_json(F.col("props"), schema)
     malformed = text.parse_json(F.concat(F.lit("]"), "props"), schema)
     return table(spark, sf_dir, "events").select(
-        "event_id", parsed["k"].alias("k"), malformed["k"].alias("k_malformed")
+        "event_id", parsed["k"].alias("k"), malformed["k"].isNull().alias("malformed_is_null")
     )
 
 

@@ -29,9 +29,21 @@ def shared_root(spark: SparkSession) -> str:
     return _local_roots.setdefault(context.applicationId, tempfile.mkdtemp(prefix="delayflow-"))
 
 
+def session_folder(spark: SparkSession) -> str:
+    """Where this application keeps its intermediate tables."""
+    return f"{shared_root(spark)}/delayflow/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared root that no other call returns."""
-    return f"{shared_root(spark)}/delayflow/{name}-{uuid.uuid4().hex}"
+    """A path for an intermediate table that no other call returns."""
+    return f"{session_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables; frames that read them end with it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(session_folder(spark))
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(path, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

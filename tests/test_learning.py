@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import Bucketizer
+from pyspark.ml.feature import Bucketizer, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -38,12 +38,21 @@ def test_classes_equal_the_bucketizer(facts):
 def test_index_is_rank_by_frequency_then_text(spark):
     df = spark.createDataFrame([(x,) for x in "bacab"], "x string")
     indexer, indexed = M.string_index(df, ["x"])
-    assert indexer.labelsArray[0] == ["a", "b", "c"]
+    assert list(indexer.stages[0].labels) == ["a", "b", "c"]
     assert rows(indexed.groupBy("x_index").count()) == [(0.0, 2), (1.0, 2), (2.0, 1)]
     unseen = indexer.transform(spark.createDataFrame([("z",), (None,)], "x string"))
     assert [r.x_index for r in unseen.collect()] == [3.0, 3.0]
 
 
+def test_index_equals_the_librarys_fit(facts):
+    routed = derive_route(facts)
+    expected = StringIndexer(
+        inputCols=M.CATEGORY_COLUMNS, outputCols=M.INDEX_FEATURES, stringOrderType="frequencyDesc"
+    ).fit(routed)
+    found = [list(stage.labels) for stage in M.fit_indexer(routed).stages]
+    assert found == [list(x) for x in expected.labelsArray]
+
+
 def test_indexing_refuses_more_values_than_fit_in_memory(spark):
     df = spark.range(5000).select(F.col("id").cast("string").alias("x"))
     with pytest.raises(ValueError, match="too many"):

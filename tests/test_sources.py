@@ -9,6 +9,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from delayflow import workspace
 from delayflow.registry.tables import features, flights, view
 from delayflow.operators.lookups import matching_flights, requests_in_day
 from delayflow.schemas import BATCH_REQUEST_SCHEMA, FEATURE_SCHEMA
@@ -159,6 +160,14 @@ def test_tasks_accumulate(spark, sf_dir, tmp_path):
     assert day.count() == 2 * requests_in_day(requests, "2024-01-15").count()
 
 
+def test_intermediate_tables_can_be_cleared(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(workspace, "session_folder", lambda spark: str(tmp_path / "application"))
+    kept = materialize(spark.range(3), "numbers")
+    assert kept.count() == 3 and (tmp_path / "application").exists()
+    workspace.clear(spark)
+    assert not (tmp_path / "application").exists()
+
+
 def test_intermediate_tables_go_to_the_shared_folder(spark, sf_dir):
     root = spark.conf.get(CHECKPOINT_SETTING)
     assert shared_root(spark) == root.rstrip("/")
