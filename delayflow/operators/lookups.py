@@ -20,9 +20,10 @@ AIRPLANE_TERMS = [
 ]
 
 
-def _typed(df: DataFrame, name: str, value: str | None) -> Column:
-    # The literal takes the column's type, so that the comparison reaches the scan.
-    return F.lit(value).cast(df.schema[name].dataType)
+def _equals(df: DataFrame, name: str, value: str) -> Column:
+    # The literal takes the column's type, so that the comparison reaches the scan. Text
+    # that is no such value equals nothing.
+    return F.col(name) == F.lit(value).try_cast(df.schema[name].dataType)
 
 
 def _all_of(predicates: list[Column]) -> Column:
@@ -34,16 +35,15 @@ def lookup_flight(
 ) -> DataFrame:
     """The first flight with these values; a missing argument matches NULL."""
     wanted = {"Carrier": carrier, "FlightDate": flight_date, "FlightNum": flight_num}
-    found = df.filter(
-        _all_of([F.col(c).eqNullSafe(_typed(df, c, v)) for c, v in wanted.items()])
-    )
+    terms = [F.col(c).isNull() if v is None else _equals(df, c, v) for c, v in wanted.items()]
+    found = df.filter(_all_of(terms))
     return found.orderBy(*full_order(df, [])).limit(1)
 
 
 def list_route_flights(df: DataFrame, origin: str, dest: str, flight_date: str) -> DataFrame:
     """Flights between two airports on a day, by departure and arrival."""
     wanted = {"Origin": origin, "Dest": dest, "FlightDate": flight_date}
-    found = df.filter(_all_of([F.col(c) == _typed(df, c, v) for c, v in wanted.items()]))
+    found = df.filter(_all_of([_equals(df, c, v) for c, v in wanted.items()]))
     return sort_by_dep_arr(found)
 
 
@@ -57,7 +57,7 @@ def _given(terms: Mapping[str, str | None], allowed: list[str]) -> dict[str, str
 def matching_flights(df: DataFrame, **terms: str | None) -> DataFrame:
     """Flights equal to every given term; absent or empty terms do not restrict."""
     given = _given(terms, FLIGHT_TERMS)
-    return df.filter(_all_of([F.col(c) == _typed(df, c, v) for c, v in given.items()]))
+    return df.filter(_all_of([_equals(df, c, v) for c, v in given.items()]))
 
 
 def search_flights(

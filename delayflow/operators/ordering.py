@@ -17,8 +17,9 @@ FEATURE_ORDER = [
 ]
 PAGE_ORDER = ["FlightDate", "DepTime", "Carrier", "FlightNum"]
 
-# Rows up to which a page is cut from a top-k; pages further on are found by position.
-TOP_K_ROWS = 10_000
+# Rows up to which a page is cut from a top-k, which merges that many rows of every task
+# in one; pages further on are found by position.
+TOP_K_ROWS = 1_000
 
 
 def full_order(df: DataFrame, keys: Sequence[str], nulls_last: bool = False) -> list[Column]:

@@ -58,10 +58,14 @@ REPORT_COLUMNS = [
 def repartition_cache(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Rows spread evenly and kept for the passes of a fit; unpersist them afterwards.
 
-    Without a number the spread follows the cluster's parallelism.
+    Without a number, rows are spread over the cluster's cores only if they lie in fewer
+    partitions than that; a large table is not shuffled just to be cached.
     """
-    wanted = partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted).persist(StorageLevel.MEMORY_AND_DISK)
+    if partitions is None:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        partitions = cores if df.rdd.getNumPartitions() < cores else None
+    spread = df.repartition(partitions) if partitions else df
+    return spread.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def job_extract(spark: SparkSession, base: str, fraction: float | None = TRAINING_SAMPLE) -> str:

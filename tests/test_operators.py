@@ -76,6 +76,7 @@ def test_search_terms_are_optional(stored_flights):
     one = L.matching_flights(stored_flights, Carrier="C01", Origin="A03")
     assert rows(one) == rows(stored_flights.filter("Carrier = 'C01' AND Origin = 'A03'"))
     assert S.search_total(stored_flights, Carrier="nobody").first()["total"] == 0
+    assert L.matching_flights(stored_flights, FlightDate="some day").count() == 0
     with pytest.raises(ValueError):
         L.matching_flights(stored_flights, Pilot="x")
 
