@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from delayflow.operators.joins import join_dimension
 from delayflow.operators.lookups import matching_flights
 from delayflow.workspace import materialize
 
@@ -85,7 +86,9 @@ def airplanes_per_carrier(df: DataFrame, max_items: int = DOCUMENT_ITEMS) -> Dat
     )
     counts = fleet.groupBy("Carrier").agg(F.count("*").alias("FleetCount"))
     documents = pack_documents(fleet, "Carrier", ["TailNum"], "TailNumbers", max_items)
-    return documents.join(counts, "Carrier").select("Carrier", "FleetCount", "Part", "TailNumbers")
+    # The documents are the large side: they stay where they are while the counts are few.
+    counted = join_dimension(documents, counts, ["Carrier"], "inner")
+    return counted.select("Carrier", "FleetCount", "Part", "TailNumbers")
 
 
 def flights_per_airplane(df: DataFrame, max_items: int = DOCUMENT_ITEMS) -> DataFrame:
