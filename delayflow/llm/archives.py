@@ -45,14 +45,16 @@ RECORD = T.StructType(
 
 def base32_sha1(payload: Column) -> Column:
     """SHA-1 of a string in upper-case base32: each 5 hex digits are 4 characters."""
-    digest = F.sha1(payload)
-    out = []
-    for part in range(8):
-        value = F.conv(F.substring(digest, 5 * part + 1, 5), 16, 10).cast("int")
-        for shift in (15, 10, 5, 0):
-            at = F.shiftright(value, shift).bitwiseAND(F.lit(31)) + 1
-            out.append(F.substring(F.lit(BASE32), at, F.lit(1)))
-    return F.concat(*out)
+
+    def letters(hex_part: Column) -> Column:
+        value = F.conv(hex_part, 16, 10).cast("int")
+        return F.transform(
+            F.array(*[F.lit(s) for s in (15, 10, 5, 0)]),
+            lambda s: F.substring(F.lit(BASE32), F.call_function("shiftright", value, s).bitwiseAND(F.lit(31)) + 1, F.lit(1)),
+        )
+
+    parts = F.regexp_extract_all(F.sha1(payload), F.lit(".{5}"), F.lit(0))
+    return F.array_join(F.flatten(F.transform(parts, letters)), "")
 
 
 def _record(kind: str | Column, headers: list[tuple[str, Column]], block: Column) -> Column:

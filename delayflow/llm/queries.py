@@ -111,7 +111,7 @@ WITH own AS (
   SELECT *, min(page_id) OVER (PARTITION BY hex) AS first FROM own
 )
 SELECT page_id, payload_bytes,
-  array_to_string(list_transform(range(0, 32), j -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  array_to_string(list_transform(range(0, 32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     CAST(((CAST('0x' || substr(hex, CAST(1 + 5 * (j // 4) AS INT), 5) AS INT)
       >> CAST(15 - 5 * (j % 4) AS INT)) & 31) + 1 AS INT), 1)), '') AS payload_digest,
   CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
@@ -191,26 +191,26 @@ WITH m AS (
     row_number() OVER (
       PARTITION BY conv_id
       ORDER BY turn NULLS FIRST, coalesce(role, 'unknown'), coalesce(text, '')
-    ) - 1 AS at
+    ) - 1 AS pos
   FROM conversations
 ), s AS (
   SELECT DISTINCT conv_id, speaker AS perspective FROM m WHERE speaker <> 'system'
 ), v AS (
-  SELECT m.conv_id, perspective, CAST(at // 512 AS INT) AS part, at, content, speaker = perspective AS train,
+  SELECT m.conv_id, perspective, CAST(pos // 512 AS INT) AS part, pos, content, speaker = perspective AS train,
     '<|' || CASE WHEN speaker = perspective THEN 'assistant' WHEN speaker = 'system' THEN 'system'
       ELSE 'user name=' || speaker END || '|>' || chr(10) AS head,
     content || chr(10) || '<|end|>' || chr(10) AS body
   FROM m JOIN s ON m.conv_id IS NOT DISTINCT FROM s.conv_id
 ), o AS (
   SELECT *, sum(length(head) + length(body)) OVER (
-      PARTITION BY conv_id, perspective, part ORDER BY at
+      PARTITION BY conv_id, perspective, part ORDER BY pos
     ) AS stop
   FROM v
 )
 SELECT conv_id, perspective, part, count(*) AS n_messages,
   count(*) FILTER (WHERE train) AS n_trained,
-  string_agg(head || body, '' ORDER BY at) AS text,
-  coalesce(string_agg(CAST(stop - length(body) AS BIGINT) || '-' || CAST(stop AS BIGINT), ',' ORDER BY at)
+  string_agg(head || body, '' ORDER BY pos) AS text,
+  coalesce(string_agg(CAST(stop - length(body) AS BIGINT) || '-' || CAST(stop AS BIGINT), ',' ORDER BY pos)
     FILTER (WHERE train), '') AS mask
 FROM o GROUP BY conv_id, perspective, part
 """

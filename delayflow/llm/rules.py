@@ -89,7 +89,9 @@ def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
         F.col("_marks").cast("long").alias("n_marks"),
         F.col("_capitals").cast("long").alias("n_capitals"),
     )
-    return ranked.select(*own, stats.alias("_stats"))
+    # A generator is a step that no filter on the counts is moved across, with all they
+    # are made of written out once more for each use.
+    return ranked.select(*own, F.explode(F.array(stats)).alias("_stats"))
 
 
 def base_failed(stats: str = "_stats") -> Column:
