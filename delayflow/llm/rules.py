@@ -151,7 +151,7 @@ def labelled_sample(
     label_col: str = "quality",
     rows: int = SAMPLE_ROWS,
 ) -> DataFrame:
-    """Statistics of up to ``rows`` labelled documents, with ``_bad`` and ``_grow``.
+    """Statistics of up to ``rows`` labelled documents that pass the base rule, with ``_bad`` and ``_grow``.
 
     An id's label is the least one it is given; NULL ids and labels teach nothing. The ids
     are the first by a hash, so the choice is the same each time and leans to no source.
@@ -168,7 +168,8 @@ def labelled_sample(
     texts = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
     # At most ``rows`` ids are copied to the executors.
     chosen = texts.join(F.broadcast(ids), "_id")
-    measured = with_statistics(chosen, "_text").select(
+    # What the base rule rejects is decided; rules are learned for the rest.
+    measured = with_statistics(chosen, "_text").filter(~base_failed()).select(
         (F.col("_label") == 0).alias("_bad"),
         (F.pmod(F.xxhash64(F.lit("fold"), "_id"), F.lit(3)) < 2).alias("_grow"),
         _features().alias("_features"),
