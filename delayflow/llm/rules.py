@@ -191,12 +191,13 @@ def binned(sample: DataFrame) -> tuple[DataFrame, dict[str, list[float]]]:
         both.append(F.percentile_approx(F.when(F.col("_bad"), x), at, 10_000).alias(f"{name}_bad"))
     found = sample.filter("_grow").agg(*both).first()
     cuts = {n: sorted({*(found[n] or ()), *(found[f"{n}_bad"] or ())}) for n in NAMES}
-    places = []
-    for name in NAMES:
+
+    def place(name: str) -> Column:
         marks = F.array(*[F.lit(v) for v in cuts[name]]).cast("array<double>")
-        x = F.col(f"_features.{name}")
-        places.append(F.size(F.filter(marks, lambda v, x=x: v <= x)))
-    return materialize(sample.select("_bad", "_grow", F.array(*places).alias("_bins")), "binned"), cuts
+        return F.size(F.filter(marks, lambda v: v <= F.col(f"_features.{name}")))
+
+    bins = F.array(*[place(n) for n in NAMES]).alias("_bins")
+    return materialize(sample.select("_bad", "_grow", bins), "binned"), cuts
 
 
 def _covers(rule: Rule, cuts: dict[str, list[float]]) -> Column:
