@@ -180,10 +180,10 @@ def labelled_sample(
 def binned(sample: DataFrame) -> tuple[DataFrame, dict[str, list[float]]]:
     """The sample as places among thresholds, and the thresholds of each feature.
 
-    Thresholds are quantiles of all growing rows and of the bad ones. The place of a value
+    Thresholds are the least value and quantiles, of all growing rows and of the bad ones. The place of a value
     is the number of thresholds that it reaches.
     """
-    at = [i / THRESHOLDS for i in range(1, THRESHOLDS)]
+    at = [i / THRESHOLDS for i in range(THRESHOLDS)]
     both = []
     for name in NAMES:
         x = F.col(f"_features.{name}")
