@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from delayflow.llm.arrow import fresh_name, slices
 from delayflow.llm.decontamination import fold_words
+from delayflow.workspace import materialize
 
 BUCKETS = 1 << 18
 # Rated documents that the model is fitted on, at most; chosen by a hash of the id.
@@ -178,7 +179,9 @@ def fit_ordinal(
             names=model.names,
         )
 
-    row = chosen.mapInArrow(featurise, hashed).coalesce(1).mapInArrow(train, model).first()
+    # Stored first: the search for the sample's texts is spread, only the sample meets in a task.
+    sample = materialize(chosen.mapInArrow(featurise, hashed), "rated")
+    row = sample.coalesce(1).mapInArrow(train, model).first()
     if row is None:
         return fit([], np.empty(0, np.int64), levels)
     return OrdinalModel(np.frombuffer(row["weights"], np.float32), np.array(row["thresholds"]))

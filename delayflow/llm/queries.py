@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from delayflow.llm import (
     archives, decontamination, dialogues, licenses, ordinal, packing, pages, pseudonyms, rules, simhash,
 )
-from delayflow.workspace import new_path
+from delayflow.workspace import materialize, new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -124,7 +124,9 @@ FROM named
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "warc")
     archives.write_captures(table(spark, sf_dir, "pages"), path)
-    captures = archives.assemble(archives.read_records(spark, path, keep_payload=False))
+    # The archives are parsed once; what is kept of a record is small without its payload.
+    records = materialize(archives.read_records(spark, path, keep_payload=False), "records")
+    captures = archives.assemble(records)
     c = F.col("capture")
     return captures.filter("part = 0").select(
         archives.page_of(c["record_id"]).cast("long").alias("page_id"),
