@@ -74,7 +74,7 @@ def fit(features: list[np.ndarray], grades: np.ndarray, levels: int) -> OrdinalM
     Adaptive gradient steps over all rows, each followed by shrinking. Thresholds are kept
     apart by exponentials, so their order holds at every step.
     """
-    counts = np.array([len(f) for f in features])
+    counts = np.array([len(f) for f in features], np.int64)
     rows = np.repeat(np.arange(len(features)), counts)
     flat = np.concatenate(features) if len(features) else np.empty(0, np.int64)
     seen = np.bincount(flat, minlength=BUCKETS)

@@ -215,10 +215,16 @@ def best_fit(
         first = TaskContext.get().partitionId() << 36
 
         def placed(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            table = pa.Table.from_batches(held).combine_chunks()
-            numbers, offsets = bins.place_all(np.asarray(table["length"], dtype=np.int64))
-            table = table.append_column("sequence_id", pa.array(numbers + first))
-            yield from table.append_column("offset", pa.array(offsets)).to_batches()
+            lengths = np.concatenate([np.asarray(b["length"], dtype=np.int64) for b in held])
+            numbers, offsets = bins.place_all(lengths)
+            at = 0
+            for part in held:
+                here = slice(at, at + part.num_rows)
+                at += part.num_rows
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(numbers[here] + first), pa.array(offsets[here])],
+                    names=[*part.schema.names, "sequence_id", "offset"],
+                )
 
         held, rows = [], 0
         for batch in batches:

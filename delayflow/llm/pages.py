@@ -244,7 +244,7 @@ def second_pass(blocks: list[Block], labels: list[bool | None]) -> list[bool]:
     """Undecided blocks take the label of the nearest decided one, of two as near the good one.
 
     Inside a marked article the nearest decided block of the article counts, and its own mark
-    where there is none. Where no block of a page is good, the undecided ones are its text.
+    where there is none. Where no block of a page is good, all that are no menus are its text.
     """
     marked = any(b.article and not b.excluded for b in blocks)
 
@@ -271,7 +271,7 @@ def second_pass(blocks: list[Block], labels: list[bool | None]) -> list[bool]:
             good = bool(near) and (near[0][1] or len(near) > 1 and near[1][0] == near[0][0] and near[1][1])
             decided.append(good and not marked)
     if not any(decided):
-        decided = [label is None for label in labels]
+        decided = [not b.excluded and b.link_chars <= LINK_DENSITY * len(b.text) for b in blocks]
     if marked:
         decided = [d and b.article for d, b in zip(decided, blocks)]
     return decided

@@ -288,24 +288,26 @@ def pseudonymise(
     under one key. NULL texts stay NULL, empty ones empty; every row and column is kept.
     With ``found_col`` a column of that name lists the kinds that were replaced, in order.
     """
-    own = [F.col(f"`{c}`") for c in docs.columns]
+    # All columns travel as one, so that none has the name of a column of a step.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     text = F.col(f"`{text_col}`")
     # Every format has a digit or an at sign; other texts are not searched.
     likely = text.rlike("[0-9@]")
     parts = docs.select(
-        *own,
+        row,
+        text.alias("text"),
         F.when(likely, F.split(text, PATTERN)).alias("_between"),
         F.when(likely, F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).alias("_found"),
     )
     kinds = F.transform("_found", lambda m: F.struct(m.alias("m"), kind_of(m).alias("k")))
-    known = parts.select(*own, "_between", kinds.alias("_kinds"))
+    known = parts.select("row", "text", "_between", kinds.alias("_kinds"))
     new = F.transform("_kinds", lambda x: pseudonym(x["m"], x["k"], key))
-    replaced = known.select(*own, "_between", "_kinds", new.alias("_new"))
+    replaced = known.select("row", "text", "_between", "_kinds", new.alias("_new"))
     joined = F.array_join(
         F.zip_with("_between", "_new", lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), ""
     )
-    changed = F.when(F.size("_new") > 0, joined).otherwise(text)
-    out = [changed.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
+    changed = F.when(F.size("_new") > 0, joined).otherwise(F.col("text"))
+    out = [changed.alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns]
     if found_col:
         listed = F.filter(F.transform("_kinds", lambda x: x["k"]), lambda k: k.isNotNull())
         out.append(F.coalesce(listed, F.array().cast("array<string>")).alias(found_col))

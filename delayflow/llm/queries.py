@@ -65,7 +65,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged, _ = rules.judge(docs, table(spark, sf_dir, "labels"))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return judged.select(
-        "doc_id", *[F.col(f"_stats.{n}").alias(n) for n in names],
+        "row.doc_id", *[F.col(f"_stats.{n}").alias(n) for n in names],
         F.col("_failed").alias("base_failed"), F.col("_kept").alias("kept"), F.col("_rule").alias("rule"),
     )
 

@@ -33,17 +33,18 @@ NAMES = ["symbols", "marks", "capitals", "repeats", "dup_lines", "word_length",
 
 
 def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """All columns and a struct ``_stats`` of the counts of each whole text.
+    """A struct ``row`` of all columns, and a struct ``_stats`` of the counts of each whole text.
 
     The steps are kept apart so that each array is made once. Sorting finds repeated windows:
     equal ones stand side by side. NULL and empty texts count zero.
     """
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    docs = docs.select(own, F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    text = F.col("text")
     words = F.filter(F.split(text, SPACE), lambda w: w != "")
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    own = [F.col(f"`{c}`") for c in docs.columns]
     split = docs.select(
-        *own,
+        "row",
         words.alias("_words"),
         lines.alias("_lines"),
         F.regexp_count(text, F.lit(SYMBOLS)).alias("_symbols"),
@@ -91,7 +92,7 @@ def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     )
     # A generator is a step that no filter on the counts is moved across, with all they
     # are made of written out once more for each use.
-    return ranked.select(*own, F.explode(F.array(stats)).alias("_stats"))
+    return ranked.select("row", F.explode(F.array(stats)).alias("_stats"))
 
 
 def base_failed(stats: str = "_stats") -> Column:
@@ -170,8 +171,8 @@ def labelled_sample(
     chosen = texts.join(F.broadcast(ids), "_id")
     # What the base rule rejects is decided; rules are learned for the rest.
     measured = with_statistics(chosen, "_text").filter(~base_failed()).select(
-        (F.col("_label") == 0).alias("_bad"),
-        (F.pmod(F.xxhash64(F.lit("fold"), "_id"), F.lit(3)) < 2).alias("_grow"),
+        (F.col("row._label") == 0).alias("_bad"),
+        (F.pmod(F.xxhash64(F.lit("fold"), "row._id"), F.lit(3)) < 2).alias("_grow"),
         _features().alias("_features"),
     )
     return materialize(measured, "labelled")
@@ -298,11 +299,12 @@ def judge(
     label_col: str = "quality",
     rows: int = SAMPLE_ROWS,
 ) -> tuple[DataFrame, list[Rule]]:
-    """All documents with ``_stats``, ``_features``, ``_failed``, ``_rule`` and ``_kept``; the rules.
+    """All documents as ``row``, with ``_stats``, ``_features``, ``_failed``, ``_rule`` and ``_kept``;
+    and the rules.
 
     ``_rule`` is the number of the first learned rule that holds, or NULL. A document is kept
     if it passes the base rule and no learned one holds. NULL and empty texts fail the base
-    rule; repeated rows are judged alike; other columns stay. No documents give no rows.
+    rule; repeated rows are judged alike; other columns stay, inside ``row``. No documents give no rows.
     """
     learned = learn_rules(labelled_sample(docs, labels, id_col, text_col, label_col, rows))
     measured = with_statistics(docs, text_col)
@@ -318,4 +320,4 @@ def judge(
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents that are kept, with their own columns."""
     judged, _ = judge(docs, labels, **options)
-    return judged.filter("_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return judged.filter("_kept").select("row.*")

@@ -138,7 +138,7 @@ def tile_units(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> Dat
 
 
 def spanning_links(values: np.ndarray, radius: int, step: int = 512) -> list[tuple[int, int]]:
-    """Links that join what pairs of near values join, at most one fewer than the values.
+    """Near pairs that join all that near pairs join, at most one fewer than the values.
 
     Values are ordered by population count and compared tile by tile with exclusive-or and
     bit counts; tile pairs whose counts lie apart beyond the radius are skipped.
@@ -163,10 +163,10 @@ def spanning_links(values: np.ndarray, radius: int, step: int = 512) -> list[tup
                 break
             near = np.bitwise_count(left ^ values[None, b : b + step]) <= radius
             for i, j in zip(*(x.tolist() for x in np.nonzero(near))):
-                i, j = root(a + i), root(b + j)
-                if i != j:
-                    parent[max(i, j)] = min(i, j)
-                    links.append((int(values[i]), int(values[j])))
+                one, other = root(a + i), root(b + j)
+                if one != other:
+                    parent[max(one, other)] = min(one, other)
+                    links.append((int(values[a + i]), int(values[b + j])))
     return links
 
 
