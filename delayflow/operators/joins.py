@@ -59,10 +59,18 @@ def unmatched_routes(
     return join_dimension(requests, pairs, ["Origin", "Dest"], "left_anti", broadcast_bytes)
 
 
-def first_responses(responses: DataFrame) -> DataFrame:
-    """One response per UUID, the least by all fields; aggregated before the shuffle."""
+def first_responses(responses: DataFrame, moment: str = "Timestamp") -> DataFrame:
+    """One response per UUID, the first in time; aggregated before the shuffle.
+
+    Responses of one moment, without a moment (they come after those that have one), or of a
+    table without that column are ordered by their other fields.
+    """
     keyed = responses.filter(F.col("UUID").isNotNull()).groupBy("UUID")
     rest = [c for c in responses.columns if c != "UUID"]
+    if moment in rest:
+        rest = [moment, *(c for c in rest if c != moment)]
+        timed = F.min(F.struct(F.col(moment).isNull().alias("_untimed"), *rest)).alias("first")
+        return keyed.agg(timed).select("UUID", "first.*").select(*responses.columns)
     if len(rest) == 1:
         return keyed.agg(F.min(rest[0]).alias(rest[0]))
     return keyed.agg(F.min(F.struct(*rest)).alias("first")).select("UUID", "first.*")

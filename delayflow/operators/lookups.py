@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delayflow.functions.text import search_tokens
-from delayflow.operators.ordering import full_order, page_by, page_flights, sort_by_dep_arr
+from delayflow.operators.ordering import full_order, page_by, page_flights
 from delayflow.schemas import AIRPLANES_PER_PAGE, DAY_COLUMN, FLIGHTS_PER_PAGE
 
 # Fields that can be searched.
@@ -44,7 +44,8 @@ def list_route_flights(df: DataFrame, origin: str, dest: str, flight_date: str)
     """Flights between two airports on a day, by departure and arrival."""
     wanted = {"Origin": origin, "Dest": dest, "FlightDate": flight_date}
     found = df.filter(_all_of([_equals(df, c, v) for c, v in wanted.items()]))
-    return sort_by_dep_arr(found)
+    # A handful of rows: they are ordered as they are found.
+    return found.orderBy(*full_order(found, ["DepTime", "ArrTime"]))
 
 
 def _given(terms: Mapping[str, str | None], allowed: list[str]) -> dict[str, str]:
@@ -98,7 +99,9 @@ def requests_in_day(
     """
     day = F.lit(iso_day).cast("date")
     if DAY_COLUMN in df.columns:
-        df = df.filter(F.col(DAY_COLUMN).between(F.date_sub(day, 1), F.date_add(day, 1)))
+        near = F.col(DAY_COLUMN).between(F.date_sub(day, 1), F.date_add(day, 1))
+        # Times that are no date are kept apart; their text is compared all the same.
+        df = df.filter(near | F.col(DAY_COLUMN).isNull())
     moment, first = F.col(column), F.lit(iso_day)
     last = F.date_format(F.date_add(day, 1), "yyyy-MM-dd")
     return df.filter((moment >= first) & ((moment < last) if half_open else (moment <= last)))

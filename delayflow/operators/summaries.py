@@ -53,18 +53,19 @@ def pack_documents(
 ) -> DataFrame:
     """A stored table of distinct items gathered into one array document per key.
 
-    A key with more than ``max_items`` items is spread by hash over ``Part``
-    documents of about that size, so no task gathers an unbounded group. Keys are
-    spread only if some key needs it. Both sides of that join are plain scans, which
-    lets adaptive execution split the partition of a hot key.
+    A key with more than ``max_items`` items, the NULL key as well, is spread by hash over
+    ``Part`` documents of about that size, so no task gathers an unbounded group. The key
+    of a document is ``(key, Part)``. The plan is the same whether any key is that large;
+    both sides of its join are plain scans, which lets adaptive execution split the
+    partition of a hot key.
     """
-    large = stored.groupBy(key).agg(F.count("*").alias("_items")).filter(F.col("_items") > max_items)
-    large = materialize(large.withColumn("_parts", F.ceil(F.col("_items") / max_items)), "large")
-    if large.isEmpty():
-        spread = stored.withColumn("Part", F.lit(0).cast("long"))
-    else:
-        part = F.pmod(F.xxhash64(*fields), F.coalesce("_parts", F.lit(1)))
-        spread = stored.join(large.select(key, "_parts"), key, "left").withColumn("Part", part)
+    # A struct is never NULL, so the NULL key meets its own count.
+    same = F.struct(key).alias("_same")
+    counts = stored.groupBy(same).agg(F.count("*").alias("_items")).filter(F.col("_items") > max_items)
+    large = counts.select("_same", F.ceil(F.col("_items") / max_items).alias("_parts"))
+    part = F.pmod(F.xxhash64(*fields), F.coalesce("_parts", F.lit(1)))
+    joined = join_dimension(stored.withColumn("_same", same), large, ["_same"], "left")
+    spread = joined.withColumn("Part", part).drop("_same", "_parts")
     item = F.struct(*fields) if len(fields) > 1 else F.col(fields[0])
     return spread.groupBy(key, "Part").agg(F.sort_array(F.collect_list(item)).alias(name))
 
@@ -80,14 +81,15 @@ def manufacturer_totals(df: DataFrame, packed: bool = False) -> DataFrame:
 
 
 def airplanes_per_carrier(df: DataFrame, max_items: int = DOCUMENT_ITEMS) -> DataFrame:
-    """Fleet size and tail numbers per carrier."""
+    """Fleet size and tail numbers per carrier; airplanes without a carrier are one fleet."""
     fleet = materialize(
         df.select("Carrier", "TailNum").filter(F.col("TailNum").isNotNull()).distinct(), "fleet"
     )
-    counts = fleet.groupBy("Carrier").agg(F.count("*").alias("FleetCount"))
+    same = F.struct("Carrier").alias("_same")
+    counts = fleet.groupBy(same).agg(F.count("*").alias("FleetCount"))
     documents = pack_documents(fleet, "Carrier", ["TailNum"], "TailNumbers", max_items)
     # The documents are the large side: they stay where they are while the counts are few.
-    counted = join_dimension(documents, counts, ["Carrier"], "inner")
+    counted = join_dimension(documents.withColumn("_same", same), counts, ["_same"], "inner")
     return counted.select("Carrier", "FleetCount", "Part", "TailNumbers")
 
 
@@ -131,10 +133,13 @@ def confusion_matrix(
     prediction: str = "Prediction",
     classes: Sequence[float] = (0.0, 1.0, 2.0, 3.0),
 ) -> DataFrame:
-    """Rows per label, one count column per predicted class."""
-    counts = df.groupBy(label).pivot(prediction, list(classes)).count()
-    columns = [
-        F.coalesce(F.col(f"`{value}`"), F.lit(0)).alias(f"predicted_{int(value)}")
-        for value in classes
-    ]
-    return counts.select(label, *columns).orderBy(label)
+    """Rows per label, one count column per predicted class.
+
+    Predictions of other classes are counted as ``predicted_other``, missing ones as
+    ``predicted_unknown``, so the counts of a label add up to its rows.
+    """
+    found = F.col(prediction)
+    columns = [F.count_if(found == value).alias(f"predicted_{int(value)}") for value in classes]
+    columns.append(F.count_if(~found.isin(*classes)).alias("predicted_other"))
+    columns.append(F.count_if(found.isNull()).alias("predicted_unknown"))
+    return df.groupBy(label).agg(*columns).orderBy(label)

@@ -58,18 +58,18 @@ REPORT_COLUMNS = [
 def repartition_cache(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Rows spread evenly and kept for the passes of a fit; unpersist them afterwards.
 
-    Without a number, rows are spread over the cluster's cores only if they lie in fewer
-    partitions than that; a large table is not shuffled just to be cached.
+    Without a number of partitions they stay where they are: a table is not shuffled just
+    to be cached.
     """
-    if partitions is None:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        partitions = cores if df.rdd.getNumPartitions() < cores else None
     spread = df.repartition(partitions) if partitions else df
     return spread.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def job_extract(spark: SparkSession, base: str, fraction: float | None = TRAINING_SAMPLE) -> str:
-    """Raw facts to sorted feature records; gives the path written."""
+def job_extract(spark: SparkSession, base: str, fraction: float | None = None) -> str:
+    """Raw facts to sorted feature records; gives the path written.
+
+    All facts are used, unless the caller asks for a sample of them by its ``fraction``.
+    """
     projected = project_features(scan_parquet(spark, f"{base}/{FACTS}"))
     if fraction is not None:
         projected = sample_bernoulli(projected, fraction, TRAINING_SEED)

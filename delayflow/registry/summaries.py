@@ -130,7 +130,9 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     "confusion_matrix",
     """SELECT label, count(*) FILTER (Prediction = 0) AS predicted_0,
     count(*) FILTER (Prediction = 1) AS predicted_1, count(*) FILTER (Prediction = 2) AS predicted_2,
-    count(*) FILTER (Prediction = 3) AS predicted_3 FROM scored GROUP BY label""",
+    count(*) FILTER (Prediction = 3) AS predicted_3,
+    count(*) FILTER (Prediction NOT IN (0, 1, 2, 3)) AS predicted_other,
+    count(*) FILTER (Prediction IS NULL) AS predicted_unknown FROM scored GROUP BY label""",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.confusion_matrix(view(spark, sf_dir, "scored"))

@@ -66,11 +66,11 @@ SELECT 'N' || lpad(CAST(p_partkey AS STRING), 5, '0') AS TailNum,
 FROM {part}
 """,
     "airlines": """
-SELECT 'C' || lpad(CAST(n_nationkey AS STRING), 2, '0') AS CarrierCode, n_name AS Name,
+SELECT 'C' || lpad(CAST(n_nationkey + 2 AS STRING), 2, '0') AS CarrierCode, n_name AS Name,
   'http://www.' || lower(n_name) || '.example' AS url, lower(n_name) || '.example' AS domain,
   'http://www.' || lower(n_name) || '.example/logo.png' AS logo_url,
   'Summary of ' || n_name AS summary
-FROM {nation} WHERE n_nationkey <> 3
+FROM {nation}
 """,
     "requests": """
 SELECT CAST(event_id AS STRING) AS UUID,

@@ -28,6 +28,9 @@ def state_session(spark: SparkSession, partitions: int | None = None) -> SparkSe
     session = spark.newSession()
     for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled"):
         session.conf.set(key, spark.conf.get(key))
+    # Sessions that were not built here keep state in the heap unless they are told.
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    session.conf.set(provider, SETTINGS[provider])
     width = partitions or spark.sparkContext.defaultParallelism
     session.conf.set("spark.sql.shuffle.partitions", str(width))
     return session

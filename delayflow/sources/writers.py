@@ -11,10 +11,7 @@ from delayflow.functions.text import to_json_record
 from delayflow.operators.joins import key_distances
 from delayflow.operators.ordering import sort_stored
 from delayflow.schemas import DAY_COLUMN
-from delayflow.workspace import materialize
-
-# Rows up to which an ordered result goes into a single file.
-SINGLE_FILE_ROWS = 1_000_000
+from delayflow.workspace import discard, materialize, new_path
 
 
 def lakehouse_create_or_replace(
@@ -47,22 +44,24 @@ def write_json_single(
     df: DataFrame,
     path: str,
     order: Sequence[Column | str],
-    single_file_rows: int = SINGLE_FILE_ROWS,
+    one_file: bool = False,
     compression: str | None = None,
 ) -> None:
     """Replace ``path`` by ordered JSON lines.
 
-    A result of at most ``single_file_rows`` rows becomes exactly one file. A larger
-    one is never forced through one task: it stays in as many files as the sort has
-    partitions, whose names follow the order, so that reading them by name gives the
-    same sequence of lines.
+    The lines are in as many files as the sort has partitions, whose names follow the order,
+    so that reading them by name gives one sequence, whatever the size. A caller who needs
+    exactly one file asks for ``one_file`` and has one task sort and write it all. The copy
+    that the sort takes its samples from is deleted after the write.
     """
-    stored = materialize(df, "unsorted")
-    if stored.count() <= single_file_rows:
+    place = new_path(df.sparkSession, "unsorted")
+    stored = materialize(df, "unsorted", place)
+    if one_file:
         ordered = stored.coalesce(1).sortWithinPartitions(*order)
     else:
         ordered = sort_stored(stored, order)
     ordered.write.mode("overwrite").json(path, compression=compression)
+    discard(df.sparkSession, place)
 
 
 def daily_partition_overwrite(

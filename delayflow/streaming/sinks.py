@@ -120,12 +120,19 @@ def latest_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
 def keyed_writer(path: str, key: str, order: Sequence[str]) -> BatchWriter:
     """Changes of each micro-batch, one row per key, added to a keyed store.
 
-    A batch costs only its own rows; ``read_keyed`` settles which batch wins.
+    A batch costs only its own rows; ``read_keyed`` settles which batch wins. Rows without
+    a key cannot be told apart in the store: all of them go to a table beside it, whose
+    path ends in ``-unkeyed``.
     """
+    beside = f"{path.rstrip('/')}-unkeyed"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        target = _batch_folder(batch, batch_id, path)
-        latest_per_key(batch, key, order).write.mode("overwrite").parquet(target)
+        batch.persist()
+        keyed = latest_per_key(batch.filter(F.col(key).isNotNull()), key, order)
+        keyed.write.mode("overwrite").parquet(_batch_folder(batch, batch_id, path))
+        unkeyed = batch.filter(F.col(key).isNull())
+        unkeyed.write.mode("overwrite").parquet(_batch_folder(batch, batch_id, beside))
+        batch.unpersist()
 
     return write
 
@@ -181,8 +188,10 @@ def stream_skip_empty_batch(
     """Write a micro-batch only if it has rows."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()  # the look at the batch and the write compute it once
         if not batch.isEmpty():
             writer(batch, batch_id)
+        batch.unpersist()
 
     return _start(df.writeStream.foreachBatch(write), checkpoint, trigger)
 

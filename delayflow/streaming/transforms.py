@@ -34,6 +34,35 @@ def stream_enrich_distance(
     return joined.withColumn("Distance", F.col("Distance").cast("double"))
 
 
+def close_correlation(
+    requests: DataFrame,
+    responses: DataFrame,
+    given_out: DataFrame,
+    bound: str = "10 minutes",
+    moment: str = "Timestamp",
+) -> DataFrame:
+    """Requests that a correlation has not given out, over stored tables.
+
+    Those are the ones that came later than the watermark allows, and those still held when
+    the stream was stopped. Each is given out with its first response within ``bound``, or as
+    WAIT; together with ``given_out`` every request with an id and a time is there once.
+    """
+    pairable = F.col("UUID").isNotNull() & F.col(moment).isNotNull()
+    left = requests.filter(pairable).join(given_out.select("UUID", moment), ["UUID", moment], "left_anti")
+    answers = responses.filter(pairable).withColumnsRenamed({"UUID": "_answer_to", moment: "_answered_at"})
+    in_time = F.col("_answered_at").between(F.col(moment), F.col(moment) + F.expr(f"INTERVAL {bound}"))
+    asked = left.select("UUID", moment).distinct()
+    rest = [c for c in answers.columns if c not in ("_answer_to", "_answered_at")]
+    first = (
+        asked.join(answers, (F.col("UUID") == F.col("_answer_to")) & in_time)
+        .groupBy("UUID", moment)
+        .agg(F.min(F.struct("_answered_at", *rest)).alias("_first"))
+        .select("UUID", moment, *[F.col(f"_first.{c}").alias(c) for c in rest], F.lit("OK").alias("status"))
+    )
+    settled = left.join(first, ["UUID", moment], "left")
+    return settled.withColumn("status", F.coalesce("status", F.lit("WAIT")))
+
+
 def stream_correlate(
     requests: DataFrame,
     responses: DataFrame,

@@ -26,7 +26,9 @@ def shared_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
-    return _local_roots.setdefault(context.applicationId, tempfile.mkdtemp(prefix="delayflow-"))
+    if context.applicationId not in _local_roots:
+        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="delayflow-")
+    return _local_roots[context.applicationId]
 
 
 def session_folder(spark: SparkSession) -> str:
@@ -41,19 +43,25 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 def clear(spark: SparkSession) -> None:
     """Delete this application's intermediate tables; frames that read them end with it."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(session_folder(spark))
-    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files.delete(path, True)
+    discard(spark, session_folder(spark))
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete one intermediate table."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(place, True)
+
+
+def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` once and read it back.
 
     Cuts the lineage, gives the planner true file sizes, and makes values that
-    depend on row order (positions, random ids) final even if executors are lost.
+    depend on row order (positions, random ids) final even if executors are lost. A caller
+    that gives the ``path`` can ``discard`` the table once its readers have run.
     """
     spark = df.sparkSession
-    path = new_path(spark, name)
+    path = path or new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -141,7 +141,7 @@ def test_null_counts_match_one_count_per_column(stored_flights):
 
 def test_confusion_matrix_has_all_classes(spark):
     df = spark.createDataFrame([(0.0, 0.0), (0.0, 3.0), (2.0, 2.0)], "label double, Prediction double")
-    assert rows(S.confusion_matrix(df)) == [(0.0, 1, 0, 0, 1), (2.0, 0, 0, 1, 0)]
+    assert rows(S.confusion_matrix(df)) == [(0.0, 1, 0, 0, 1, 0, 0), (2.0, 0, 0, 1, 0, 0, 0)]
     assert S.accuracy(df).first()["accuracy"] == pytest.approx(2 / 3)
 
 
@@ -204,3 +204,22 @@ def test_longest_and_shortest(spark):
     df = spark.createDataFrame([("A", "B", 3.0), ("A", "C", 1.0), ("B", "C", 2.0)], "Origin string, Dest string, Distance double")
     assert [r.Distance for r in O.longest_shortest_routes(df, 2).collect()] == [3.0, 2.0]
     assert [r.Distance for r in O.longest_shortest_routes(df, 1, longest=False).collect()] == [1.0]
+
+
+def test_the_first_response_in_time_counts(spark):
+    asked = spark.createDataFrame([("a",), ("b",), (None,)], "UUID string")
+    said = spark.createDataFrame(
+        [("a", "2024-01-02", 1.0), ("a", "2024-01-01", 3.0), ("a", None, 0.0)],
+        "UUID string, Timestamp string, Prediction double",
+    )
+    found = {r.UUID: (r.Prediction, r.status) for r in J.correlate_request_response(asked, said).collect()}
+    assert found == {"a": (3.0, "OK"), "b": (None, "WAIT"), None: (None, "WAIT")}
+
+
+def test_requests_without_a_day_are_found_by_their_text(spark):
+    tasks = spark.createDataFrame(
+        [("2024-01-15x", None), ("2024-01-15T10", "2024-01-15"), ("2024-02-01", "2024-02-01")],
+        "Timestamp string, iso_date string",
+    ).withColumn("iso_date", F.col("iso_date").cast("date"))
+    assert L.requests_in_day(tasks, "2024-01-15").count() == 2
+    assert L.requests_in_day(tasks.drop("iso_date"), "2024-01-15").count() == 2

@@ -129,3 +129,24 @@ def test_latest_per_key_is_reduced_before_the_shuffle(spark):
     plan = latest._jdf.queryExecution().executedPlan().toString()
     assert "partial_max" in plan
     assert rows(latest) == [("k", 999)]
+
+
+def test_the_null_key_is_split_and_kept(spark, hot):
+    none = hot.select(
+        F.when(F.col("TailNum") != "N0", F.col("TailNum")).alias("TailNum"),
+        F.when(F.col("TailNum") != "N5", F.col("Carrier")).alias("Carrier"),
+        "FlightDate", "FlightNum", "Origin", "Dest",
+    )
+    documents = S.flights_per_airplane(none, max_items=500)
+    unknown = documents.filter("TailNum IS NULL").select(F.size("Flights")).collect()
+    assert len(unknown) > 10 and max(s[0] for s in unknown) < 1_000
+    fleets = {r.Carrier: r.FleetCount for r in S.airplanes_per_carrier(none, max_items=20).collect()}
+    assert fleets == {"AA": 95, None: 1}
+
+
+def test_all_predictions_are_counted(spark):
+    df = spark.createDataFrame(
+        [(0.0, 7.0), (0.0, None), (0.0, 1.0), (None, 2.0)], "label double, Prediction double"
+    )
+    found = {r.label: tuple(r)[1:] for r in S.confusion_matrix(df).collect()}
+    assert found == {0.0: (0, 1, 0, 0, 1, 1), None: (0, 0, 1, 0, 0, 0)}

@@ -179,3 +179,26 @@ def test_correlation_takes_the_first_response_in_time(topic):
 def test_requests_of_the_fixture_are_all_parsed(spark, sf_dir):
     folder = registered.request_lines(spark, sf_dir)
     assert spark.read.text(folder).count() == spark.read.parquet(f"{sf_dir}/events.parquet").count()
+
+
+def test_late_requests_are_settled_afterwards(spark):
+    stamp = F.col("Timestamp").cast("timestamp")
+    asked = spark.createDataFrame(
+        [("a", "2024-01-01 00:00:00"), ("late", "2024-01-01 00:01:00"), ("open", "2024-01-01 00:02:00")],
+        "UUID string, Timestamp string",
+    ).withColumn("Timestamp", stamp)
+    said = spark.createDataFrame(
+        [("late", "2024-01-01 00:05:00", 2.0), ("late", "2024-01-01 00:03:00", 1.0), ("open", "2024-01-01 09:00:00", 1.0)],
+        "UUID string, Timestamp string, Prediction double",
+    ).withColumn("Timestamp", stamp)
+    given = asked.filter("UUID = 'a'")
+    found = X.close_correlation(asked, said, given).select("UUID", "Prediction", "status").collect()
+    assert sorted(map(tuple, found)) == [("late", 1.0, "OK"), ("open", None, "WAIT")]
+
+
+def test_rows_without_a_key_are_kept_beside_the_store(spark, tmp_path):
+    rows_in = spark.createDataFrame([(None, 1), (None, 2), ("k", 1), ("k", 2)], "uuid string, n int")
+    path = str(tmp_path / "store")
+    K.keyed_writer(path, "uuid", ["n"])(rows_in, 0)
+    assert [r.n for r in spark.read.parquet(path).collect()] == [2]
+    assert sorted(r.n for r in spark.read.parquet(path + "-unkeyed").collect()) == [1, 2]
