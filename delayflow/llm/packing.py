@@ -23,6 +23,8 @@ END_ID = 0
 SEQUENCE_TOKENS = 2048
 # Pieces that a task holds and fits together; open sequences are carried to its next block.
 BLOCK_PIECES = 16_384
+# Bytes of a block, with all columns of its pieces; wide pieces are fitted in smaller blocks.
+BLOCK_BYTES = 16 * 1024 * 1024
 
 PLACED = [
     T.StructField("sequence_id", T.LongType()),
@@ -229,11 +231,13 @@ def best_fit(
         held, rows = [], 0
         for batch in batches:
             at = 0
+            wide = BLOCK_BYTES // max(1, batch.nbytes // max(1, batch.num_rows))
+            most = max(1, min(block, wide))
             while at < batch.num_rows:
-                part = batch.slice(at, block - rows)
+                part = batch.slice(at, max(1, most - rows))
                 held.append(part)
                 rows, at = rows + part.num_rows, at + part.num_rows
-                if rows == block:
+                if rows >= most:
                     yield from placed(held)
                     held, rows = [], 0
         if rows:
