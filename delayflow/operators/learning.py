@@ -11,6 +11,8 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from delayflow.operators.joins import join_dimension
+from delayflow.operators.ordering import number_rows
 from delayflow.operators.projection import derive_route, drop_rename_columns
 from delayflow.operators.summaries import accuracy
 from delayflow.schemas import CATEGORY_COLUMNS, INDEX_FEATURES, NUMERIC_FEATURES
@@ -104,6 +106,43 @@ def string_index(
     return model, model.transform(df).drop(*columns)
 
 
+def category_index(df: DataFrame, columns: Sequence[str] = CATEGORY_COLUMNS) -> DataFrame:
+    """Columns column, value and index (double): the rank of each value in its column.
+
+    Most frequent first, ties in text order, from 0. Ranks come from a range-partitioned
+    sort of the counts, so any number of values will do and none comes to the driver.
+    """
+    counts = materialize(category_counts(df, columns), "categories")
+    order = [F.col("column"), F.col("n").desc(), F.col("value")]
+    ranked = materialize(number_rows(counts, order, "_position"), "ranked")
+    firsts = {
+        r["column"]: r["first"]
+        for r in ranked.groupBy("column").agg(F.min("_position").alias("first")).collect()
+    }
+    first = F.lit(0)
+    for name, position in firsts.items():
+        first = F.when(F.col("column") == name, F.lit(position)).otherwise(first)
+    index = (F.col("_position") - first).cast("double").alias("index")
+    return ranked.select("column", "value", index)
+
+
+def join_index(df: DataFrame, columns: Sequence[str] = CATEGORY_COLUMNS) -> DataFrame:
+    """``string_index`` for any number of values: the index is joined to the rows.
+
+    NULLs get the index after the last, as there. The dictionary of a column is broadcast
+    only if it is found to be small.
+    """
+    index = materialize(category_index(df, columns), "index")
+    sizes = {r["column"]: r["n"] for r in index.groupBy("column").agg(F.count("*").alias("n")).collect()}
+    for name in columns:
+        side = index.filter(F.col("column") == name).select(
+            F.col("value").cast(df.schema[name].dataType).alias(name), F.col("index").alias(f"{name}_index")
+        )
+        df = join_dimension(df, side, [name], "left")
+        df = df.fillna({f"{name}_index": float(sizes.get(name, 0))})
+    return df.drop(*columns)
+
+
 def feature_assembler(handle_invalid: str = "error") -> VectorAssembler:
     return VectorAssembler(
         inputCols=NUMERIC_FEATURES + INDEX_FEATURES,
@@ -153,28 +192,50 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     return drop_rename_columns(model.transform(derive_route(df)))
 
 
-def score_batch(model: PipelineModel, df: DataFrame, path: str, day: str) -> DataFrame:
-    """Score a day's requests and replace that day under ``path``."""
+def score_batch(model: PipelineModel, df: DataFrame, path: str, day: str | None = None) -> DataFrame:
+    """Score requests and replace their days under ``path``.
+
+    With ``day`` the frame is that day's whole input. Without it each request is filed under
+    its own ``iso_date``.
+    """
     scored = predict(model, df)
     daily_partition_overwrite(scored, path, day)
     return scored
 
 
-def evaluate_classifier(
-    df: DataFrame, seed: int = 27, held_out: float = 0.2
-) -> tuple[PipelineModel, DataFrame]:
-    """Fit on one part of the rows and measure accuracy on the rest.
+def split_rows(df: DataFrame, seed: int, held_out: float) -> tuple[DataFrame, DataFrame]:
+    """Rows to fit on and rows held out.
 
     A row's hash decides its part: equal rows stay together, so the model is not tested
     on copies of what it has seen, and no sort is needed to make the choice stable.
     """
     place = F.pmod(F.xxhash64(F.lit(seed), *df.columns), F.lit(SPLIT_PARTS))
     tested = place < round(held_out * SPLIT_PARTS)
-    model = train_random_forest(df.filter(~tested), seed)
-    scored = predict(model, bucketize_arrival_delay(df.filter(tested)))
+    return df.filter(~tested), df.filter(tested)
+
+
+def evaluate_classifier(
+    df: DataFrame, seed: int = 27, held_out: float = 0.2
+) -> tuple[PipelineModel, DataFrame]:
+    """Fit on one part of the rows and measure accuracy on the rest."""
+    fitted, tested = split_rows(df, seed, held_out)
+    model = train_random_forest(fitted, seed)
+    scored = predict(model, bucketize_arrival_delay(tested))
     return model, accuracy(scored, LABEL_COLUMN, PREDICTION_COLUMN)
 
 
+def evaluate_regression(
+    df: DataFrame, seed: int = 27, held_out: float = 0.2
+) -> tuple[PipelineModel, DataFrame]:
+    """Fit on one part of the rows; one row on the rest: rows, mean square error, variance."""
+    fitted, tested = split_rows(df, seed, held_out)
+    model, _ = regress_arrival_delay(fitted)
+    error = F.pow(F.col("Delay") - F.col("ArrDelay"), F.lit(2))
+    return model, model.transform(tested).agg(
+        F.count("*").alias("rows"), F.avg(error).alias("error"), F.var_pop("ArrDelay").alias("variance")
+    )
+
+
 def regress_arrival_delay(
     df: DataFrame, num_features: int = HASHED_FEATURES, iterations: int = 25
 ) -> tuple[PipelineModel, DataFrame]:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delayflow.functions.text import search_tokens
-from delayflow.operators.ordering import full_order, page_by, page_flights
+from delayflow.operators.ordering import full_order, nav_offsets, page_by, page_flights
 from delayflow.schemas import AIRPLANES_PER_PAGE, DAY_COLUMN, FLIGHTS_PER_PAGE
 
 # Fields that can be searched.
@@ -68,6 +68,25 @@ def search_flights(
     return page_flights(matching_flights(df, **terms), start, size)
 
 
+def search_page(
+    df: DataFrame, start: int = 0, size: int = FLIGHTS_PER_PAGE, **terms: str | None
+) -> DataFrame:
+    """One row for a page: the rows of a search (array ``flights``, in page order), the ``total`` of its hits,
+    ``start``, ``end`` and the paging links.
+
+    A search without hits, or a page beyond the last, has an empty array.
+    """
+    found = matching_flights(df, **terms)
+    total = found.agg(F.count("*").alias("total")).first()["total"]
+    rows = page_flights(found, start, size)
+    row = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    # No more rows than a page has are gathered.
+    gathered = rows.agg(F.collect_list(row).alias("flights")).withColumns(
+        {"start": F.lit(start), "end": F.lit(start + size), "total": F.lit(total)}
+    )
+    return nav_offsets(gathered, increment=size)
+
+
 def search_airplanes(
     df: DataFrame, start: int = 0, size: int = AIRPLANES_PER_PAGE, **terms: str | None
 ) -> DataFrame:

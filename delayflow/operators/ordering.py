@@ -21,6 +21,9 @@ PAGE_ORDER = ["FlightDate", "DepTime", "Carrier", "FlightNum"]
 # in one; pages further on are found by position.
 TOP_K_ROWS = 1_000
 
+# Bits of a row id of Spark that number the rows inside a partition.
+PLACE_BITS = 33
+
 
 def full_order(df: DataFrame, keys: Sequence[str], nulls_last: bool = False) -> list[Column]:
     """The keys that exist, then every other column as a tie-break.
@@ -83,44 +86,67 @@ def preview(df: DataFrame, n: int, order: Sequence[str] = ()) -> DataFrame:
     return df.orderBy(*full_order(df, order)).limit(n)
 
 
+def ordered_table(df: DataFrame, order: Sequence[Column], name: str = "ordered") -> DataFrame:
+    """A stored copy in a global order, with ``_id``: the sort partition and the place in it.
+
+    A window over the whole frame would sort it in one task. Here the sort is range
+    partitioned. Rows are written in the order of ``_id``, so ranges of it reach the scan.
+    """
+    return materialize(sort_rows(df, order).withColumn("_id", F.monotonically_increasing_id()), name)
+
+
+def partition_counts(stored: DataFrame) -> DataFrame:
+    """Rows per sort partition of an ordered table; as many as the sort's shuffle is wide."""
+    partition = F.shiftright("_id", PLACE_BITS).cast("int").alias("_partition")
+    return stored.groupBy(partition).agg(F.count("*").alias("_rows"))
+
+
 def number_rows(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     """Add each row's position in a global order, from 0.
 
-    A window over the whole frame would sort it in one task. Here the sort is range
-    partitioned; an id holds the partition and the place within it, and only one
-    count per partition is summed up to turn places into positions.
+    Only one count per sort partition is summed up to turn places into positions.
     """
-    ordered = sort_rows(df, order).withColumn("_id", F.monotonically_increasing_id())
-    stored = materialize(ordered, "ordered")
-    partition = F.shiftright("_id", 33).cast("int")
-    place = F.col("_id").bitwiseAND((1 << 33) - 1)
+    stored = ordered_table(df, order)
     before = Window.orderBy("_partition").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        stored.groupBy(partition.alias("_partition"))
-        .agg(F.count("*").alias("_rows"))
-        .select("_partition", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    starts = partition_counts(stored).select(
+        "_partition", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
     )
     # One row per sort partition, so the copy is bounded by the shuffle width.
     return (
-        stored.withColumn("_partition", partition)
+        stored.withColumn("_partition", F.shiftright("_id", PLACE_BITS).cast("int"))
         .join(F.broadcast(starts), "_partition")
-        .withColumn(name, F.col("_start") + place)
+        .withColumn(name, F.col("_start") + F.col("_id").bitwiseAND((1 << PLACE_BITS) - 1))
         .drop("_id", "_partition", "_start")
     )
 
 
+def page_of_ordered(stored: DataFrame, start: int, size: int) -> DataFrame:
+    """Rows ``start`` to ``start + size`` of an ordered table, which any number of pages share.
+
+    The counts of the sort partitions, one row each, tell on the driver which ranges of
+    ``_id`` the page is made of; the scan then skips all other row groups.
+    """
+    counts = sorted((r["_partition"], r["_rows"]) for r in partition_counts(stored).collect())
+    wanted, passed = F.lit(False), 0
+    for partition, rows in counts:
+        low, high = max(start - passed, 0), min(start + size - passed, rows)
+        if low < high:
+            first = partition << PLACE_BITS
+            wanted = wanted | F.col("_id").between(first + low, first + high - 1)
+        passed += rows
+    return stored.filter(wanted).orderBy("_id").drop("_id")
+
+
 def page_by(df: DataFrame, order: Sequence[Column], start: int, size: int) -> DataFrame:
     """Rows ``start`` to ``start + size`` of an order.
 
     Early pages are a top-k that keeps ``start + size`` rows per task. Later ones
-    are cut by position, so that no task has to hold all rows before the page.
+    are cut by position, so that no task has to hold all rows before the page. A caller
+    of many deep pages keeps one ``ordered_table`` and cuts them with ``page_of_ordered``.
     """
     if start + size <= TOP_K_ROWS:
         return df.orderBy(*order).offset(start).limit(size)
-    numbered = number_rows(df, order, "_position")
-    place = F.col("_position")
-    page = numbered.filter((place >= start) & (place < start + size))
-    return page.orderBy("_position").drop("_position")
+    return page_of_ordered(ordered_table(df, order), start, size)
 
 
 def page_flights(df: DataFrame, start: int = 0, size: int = FLIGHTS_PER_PAGE) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from delayflow.plans import jobs as B
 from delayflow.registry import query
-from delayflow.registry.learning import trained
+from delayflow.registry.learning import majority, trained
 from delayflow.registry.streams import finish, request_lines
 from delayflow.registry.tables import comparable, distances, enriched, features, flights, view
 from delayflow.schemas import FEATURE_SCHEMA
@@ -34,23 +34,28 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(scan_json_schema(spark, written, FEATURE_SCHEMA))
 
 
-@query("job_train")
+@query(
+    "job_train",
+    """SELECT 'accuracy above majority' AS figure, CAST(1 AS BIGINT) AS amount FROM features HAVING count(*) > 0
+    UNION ALL SELECT 'predicted rows' AS figure, count(*) AS amount FROM features
+    UNION ALL SELECT 'sampled rows foreign to the table' AS figure, CAST(0 AS BIGINT) AS amount
+      FROM features HAVING count(*) > 0""",
+)
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = new_path(spark, "job")
     table = lakehouse_create_or_replace(
         features(spark, sf_dir), "flights_db", f"training_{base[-12:]}", location=f"{base}-lakehouse"
     )
     done = B.job_train(spark, base, table)
-    measured = done.accuracy.select(
-        F.lit("accuracy").alias("figure"), F.lit(None).cast("double").alias("class"),
-        F.col("accuracy").alias("amount"),
-    )
-    return measured.unionByName(
-        done.distribution.select(
-            F.lit("predicted").alias("figure"), F.col("Prediction").alias("class"),
-            F.col("count").cast("double").alias("amount"),
-        )
-    )
+    names = ["Carrier", "Origin", "Dest", "FlightNum", "CRSDepTime"]
+    foreign = done.sample.select(*names).exceptAll(spark.table(table).select(*names))
+    figures = {
+        "accuracy above majority": done.accuracy.agg(F.count_if(F.col("accuracy") > majority(spark, sf_dir))),
+        "predicted rows": done.distribution.agg(F.sum("count")),
+        "sampled rows foreign to the table": foreign.agg(F.count("*")),
+    }
+    parts = [df.toDF("amount").select(F.lit(name).alias("figure"), "amount") for name, df in figures.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from delayflow.operators import lookups as L
 from delayflow.operators.summaries import airplanes_per_carrier
@@ -51,6 +52,23 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.search_flights(flights(spark, sf_dir), start=30, Carrier="C01", Origin="A19", Dest=None)
 
 
+@query(
+    "search_page",
+    f"""WITH hits AS (SELECT * FROM flights WHERE Carrier = 'C01' AND Origin = 'A19'),
+    page AS (SELECT * FROM hits ORDER BY {PAGE} LIMIT 15 OFFSET 30)
+    SELECT (SELECT count(*) FROM hits) AS total, (SELECT count(*) FROM page) AS shown,
+      (SELECT string_agg(FlightNum, ',' ORDER BY {PAGE}) FROM page) AS flight_nums,
+      (SELECT count(*) FROM hits) > 45 AS next_shown, (SELECT count(*) FROM hits) > 15 AS previous_shown""",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    page = L.search_page(flights(spark, sf_dir), start=30, Carrier="C01", Origin="A19")
+    numbers = F.transform("flights", lambda r: r["FlightNum"])
+    return page.select(
+        "total", F.size("flights").cast("long").alias("shown"), F.array_join(numbers, ",").alias("flight_nums"),
+        "next_shown", "previous_shown",
+    )
+
+
 @query(
     "search_airplanes",
     r"""WITH words AS (SELECT *,

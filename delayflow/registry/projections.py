@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from delayflow.operators import projection as P
 from delayflow.registry import query
-from delayflow.registry.tables import comparable, enriched, features, flights, view
+from delayflow.registry.tables import comparable, enriched, features, flights, stored, view
 from delayflow.schemas import STREAM_REQUEST_FIELDS
 
 
@@ -29,9 +29,31 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.filter_not_null_delays(flights(spark, sf_dir))
 
 
-@query("sample_bernoulli")
+@query(
+    "sample_bernoulli",
+    """SELECT how, FlightDate, count(*) AS flights, CAST(0 AS BIGINT) AS foreign_rows, TRUE AS near_fraction
+    FROM (SELECT *, unnest(['drawn', 'by_key']) AS how FROM flights) GROUP BY how, FlightDate""",
+)
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.sample_bernoulli(P.project_features(flights(spark, sf_dir)))
+    # SQL cannot draw the same rows: it is shown that a sample and the rest are the whole, and
+    # that the sample's size is within five deviations of what is asked for.
+    whole = stored(spark, sf_dir, "projected", lambda: P.project_features(flights(spark, sf_dir)))
+    rows, fraction = whole.count(), 0.1
+    most = 5 * (rows * fraction * (1 - fraction)) ** 0.5
+    parts = []
+    for how, key in (("drawn", None), ("by_key", whole.columns)):
+        sample = stored(spark, sf_dir, f"sample-{how}", lambda: P.sample_bernoulli(whole, fraction, key=key))
+        near = abs(sample.count() - rows * fraction) <= most
+        rest = whole.exceptAll(sample)
+        parts.append(
+            sample.withColumn("_drawn", F.lit(True)).unionByName(rest.withColumn("_drawn", F.lit(False)))
+            .groupBy("FlightDate").agg(F.count("*").alias("flights"))
+            .select(
+                F.lit(how).alias("how"), "FlightDate", "flights",
+                F.lit(sample.exceptAll(whole).count()).alias("foreign_rows"), F.lit(near).alias("near_fraction"),
+            )
+        )
+    return parts[0].unionByName(parts[1])
 
 
 @query("extract_features", "SELECT * FROM features")

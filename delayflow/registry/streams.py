@@ -148,9 +148,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "microbatch")
     rows = answered(spark, sf_dir)
-    running = K.stream_microbatch_10s(
-        rows, K.response_writer(path), f"{path}-checkpoint", interval="1 second"
-    )
+    running = K.stream_microbatch_10s(rows, K.response_writer(path), f"{path}-checkpoint")
     try:
         running.processAllAvailable()
     finally:

@@ -59,6 +59,40 @@ def test_indexing_refuses_more_values_than_fit_in_memory(spark):
         M.fit_indexer(df, ["x"], max_categories=1000)
 
 
+def test_any_number_of_values_is_indexed_by_a_join(spark):
+    many = spark.range(200_000).select(F.format_string("%06d", "id").alias("x"))
+    df = many.unionByName(spark.createDataFrame([("000007",), (None,)], "x string")).withColumn("y", F.col("x"))
+    placed = M.join_index(df, ["y"])
+    assert placed.count() == 200_002
+    # The repeated value comes first; those before it in text order move up by one.
+    number = F.col("x").cast("double")
+    wanted = F.when(number == 7, 0.0).when(number < 7, number + 1).otherwise(number)
+    wrong = placed.filter(~F.col("y_index").eqNullSafe(F.coalesce(wanted, F.lit(200_000.0))))
+    assert wrong.count() == 0
+
+
+def test_joined_index_equals_the_indexer(facts):
+    routed = derive_route(facts)
+    assert rows(M.join_index(routed)) == rows(M.string_index(routed)[1].select(M.join_index(routed).columns))
+
+
+def test_regression_is_measured_on_held_out_rows(facts):
+    # The delays of the test tables are noise to the features; these follow them.
+    place = F.ascii(F.substring("Origin", 3, 1)) - F.ascii(F.substring("Dest", 3, 1))
+    known = facts.withColumn("ArrDelay", F.col("Distance") / 20 + place)
+    held_out = M.evaluate_regression(known)[1].first()
+    assert 0 < held_out.rows < facts.count() / 3
+    assert held_out.error < held_out.variance / 2
+
+
+def test_scored_requests_are_filed_under_their_own_day(spark, model, sf_dir):
+    path = new_path(spark, "days")
+    requests = enriched(spark, sf_dir).withColumn("iso_date", F.to_date("Timestamp"))
+    M.score_batch(model, requests, path)
+    found = spark.read.json(path).groupBy("iso_date").count()
+    assert rows(found.select(F.col("iso_date").cast("date"), "count")) == rows(requests.groupBy("iso_date").count())
+
+
 def test_vector_order_and_missing_numbers(spark):
     values = {c: float(i) for i, c in enumerate(M.feature_assembler().getInputCols())}
     df = spark.createDataFrame([values])

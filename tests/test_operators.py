@@ -183,6 +183,28 @@ def test_deep_pages_equal_shallow_ones(stored_flights, monkeypatch):
     assert [tuple(r) for r in deep.collect()] == shallow
 
 
+def test_pages_of_one_ordered_table_skip_by_id(stored_flights):
+    keys = O.full_order(stored_flights, O.PAGE_ORDER, nulls_last=True)
+    ordered = O.ordered_table(stored_flights, keys)
+    whole = [tuple(r) for r in stored_flights.orderBy(*keys).collect()]
+    for start in (0, 700, len(whole) - 5, len(whole), len(whole) + 100):
+        page = O.page_of_ordered(ordered, start, 40)
+        assert [tuple(r) for r in page.collect()] == whole[start : start + 40]
+    plan = O.page_of_ordered(ordered, 700, 40)._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters") :].split("]")[0]
+    assert "GreaterThanOrEqual(_id" in pushed and "LessThanOrEqual(_id" in pushed
+    assert O.page_of_ordered(O.ordered_table(stored_flights.limit(0), keys), 0, 40).count() == 0
+
+
+def test_page_without_hits_has_a_total(stored_flights):
+    page = L.search_page(stored_flights, Carrier="none").first()
+    assert page.total == 0 and page.flights == [] and not page.next_shown
+    whole = L.search_page(stored_flights, start=15).first()
+    assert whole.total == stored_flights.count() and len(whole.flights) == 15
+    assert whole.next_shown and whole.previous_shown
+    assert [tuple(r) for r in whole.flights] == [tuple(r) for r in O.page_flights(stored_flights, 15).collect()]
+
+
 def test_number_rows_counts_in_order(spark):
     numbers = list(range(5000))
     random.Random(1).shuffle(numbers)
