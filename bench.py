@@ -35,6 +35,9 @@ HEADLINES = [
     "confusion_matrix",
     "stream_fanout",
     "job_extract",
+    "page_flights_deep",
+    "string_index_joined",
+    "stream_correlate",
 ]
 
 
