@@ -35,7 +35,7 @@ from delayflow.sources.readers import (
 )
 from delayflow.sources.writers import append_results, write_json_single, write_json_text
 from delayflow.streaming.sinks import BatchWriter, stream_fanout
-from delayflow.streaming.sources import stream_source_requests
+from delayflow.streaming.sources import stream_source_requests, with_rate_limit
 from delayflow.streaming.transforms import stream_parse_requests, stream_score
 from delayflow.workspace import materialize
 
@@ -151,9 +151,12 @@ def job_stream_predict(
     """Requests from a stream, scored once and handed to all writers, until stopped.
 
     A request that lacks an id or a number of the feature vector is still scored, as
-    such numbers count as unknown; with ``rejects`` it goes there instead.
+    such numbers count as unknown; with ``rejects`` it goes there instead. A backlog is
+    worked off in micro-batches of bounded size, which the options of the source can set.
     """
-    requests = stream_parse_requests(stream_source_requests(spark, *source))
+    fmt, options = source
+    messages = stream_source_requests(spark, fmt, with_rate_limit(fmt, options))
+    requests = stream_parse_requests(messages)
     scored = stream_score(model, requests)
     required = ["UUID", *NUMERIC_FEATURES]
     return stream_fanout(scored, writers, checkpoint, trigger, rejects, required)

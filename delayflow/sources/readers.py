@@ -9,19 +9,9 @@ from pyspark.sql.types import DataType, DateType, IntegerType, StringType, Struc
 from delayflow.functions.text import parse_json
 
 
-def scan_parquet(spark: SparkSession, path: str, spread_by: str | None = None) -> DataFrame:
-    """A Parquet table.
-
-    A table of fewer splits than the cluster has cores, say one file of a single row
-    group, would be worked on by few of them. With ``spread_by`` its rows are spread by
-    that key, which should be all but unique; a table of enough splits is read as it is.
-    """
-    df = spark.read.parquet(path)
-    if spread_by is not None:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            return df.repartition(cores, spread_by)
-    return df
+def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table."""
+    return spark.read.parquet(path)
 
 
 def scan_json_schema(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

@@ -74,10 +74,18 @@ def stream_sink_response(
 
 
 def stream_sink_debug(
-    df: DataFrame, checkpoint: str, fmt: str = "console", trigger: Mapping | None = None
+    df: DataFrame,
+    checkpoint: str,
+    fmt: str = "console",
+    trigger: Mapping | None = None,
+    options: Mapping[str, str | int] | None = None,
 ) -> StreamingQuery:
-    """Show the head of each micro-batch; ``noop`` only runs and counts it."""
-    return _start(df.writeStream.format(fmt), checkpoint, trigger)
+    """Show the head of each micro-batch.
+
+    ``noop`` only runs and counts it; a format of files, with a ``path`` among its
+    ``options``, shows every row.
+    """
+    return _start(df.writeStream.format(fmt).options(**(options or {})), checkpoint, trigger)
 
 
 def response_writer(path: str) -> BatchWriter:

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from delayflow import workspace
-from delayflow.registry.tables import features, flights, view
+from delayflow.registry.tables import features, flights, table, view
 from delayflow.operators.lookups import matching_flights, requests_in_day
 from delayflow.schemas import BATCH_REQUEST_SCHEMA, FEATURE_SCHEMA
 from delayflow.sources import readers as R
@@ -63,17 +63,18 @@ def test_search_terms_reach_the_scan(spark, sf_dir, tmp_path):
     assert "EqualTo(Carrier,C01)" in plan and "EqualTo(FlightDate,1996-12-17)" in plan
 
 
-def test_only_tables_of_few_splits_are_spread(spark, sf_dir):
-    path = f"{sf_dir}/lineitem.parquet"
-    assert R.scan_parquet(spark, path).rdd.getNumPartitions() < 8
-    spread = R.scan_parquet(spark, path, "l_orderkey")
-    assert "REPARTITION_BY_NUM" in spread._jdf.queryExecution().executedPlan().toString()
-    many = new_path(spark, "many")
-    R.scan_parquet(spark, path).repartition(40).write.parquet(many)
+def test_a_scan_never_shuffles_and_a_test_copy_in_one_piece_is_spread(spark, sf_dir):
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    whole = R.scan_parquet(spark, f"{sf_dir}/lineitem.parquet")
+    assert whole.rdd.getNumPartitions() == 1 and "Exchange" not in plan(whole)
+    assert "REPARTITION_BY_NUM" in plan(table(spark, sf_dir, "lineitem"))
+    folder = new_path(spark, "many")
+    whole.repartition(40).write.parquet(f"{folder}/lineitem.parquet")
     spark.conf.set("spark.sql.files.openCostInBytes", "64MB")
     try:
-        plain = R.scan_parquet(spark, many, "l_orderkey")
-        assert "REPARTITION" not in plain._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan(table(spark, folder, "lineitem"))
     finally:
         spark.conf.unset("spark.sql.files.openCostInBytes")
 

@@ -202,3 +202,20 @@ def test_rows_without_a_key_are_kept_beside_the_store(spark, tmp_path):
     K.keyed_writer(path, "uuid", ["n"])(rows_in, 0)
     assert [r.n for r in spark.read.parquet(path).collect()] == [2]
     assert sorted(r.n for r in spark.read.parquet(path + "-unkeyed").collect()) == [1, 2]
+
+
+def test_a_rate_limit_parts_a_backlog_and_leaves_nothing_out(topic):
+    for number in range(5):
+        topic.send(request(str(number)))
+    options = {"path": str(topic.input), "maxFilesPerTrigger": 2}
+    assert S.with_rate_limit("text", options) == options
+    assert S.with_rate_limit("text", {"path": "p"})["maxFilesPerTrigger"] == 1_000
+    assert "maxOffsetsPerTrigger" in S.with_rate_limit("kafka", {"subscribe": "t"})
+    messages = S.stream_source_requests(topic.spark, "text", S.with_rate_limit("text", options))
+    shown = topic.path("shown")
+    running = K.stream_sink_debug(
+        X.stream_parse_requests(messages), topic.path("c"), "json", K.DRAIN, {"path": shown}
+    )
+    finish(running)
+    assert [p["numInputRows"] for p in running.recentProgress if p["numInputRows"]] == [2, 2, 1]
+    assert sorted(r["UUID"] for r in topic.spark.read.json(shown).collect()) == list("01234")
