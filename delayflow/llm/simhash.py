@@ -26,12 +26,12 @@ TILE = 1_024
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def fingerprint(text: str | None, width: int = SHINGLE) -> int:
-    """SimHash of the word shingles of a text, repeats included; 0 without words."""
+def shingle_hashes(text: str | None, width: int = SHINGLE) -> np.ndarray:
+    """Hashes of the word shingles of a text in order, repeats included; none without words."""
     # Bytes split at the six ASCII white-space characters alone.
     words = (text or "").encode("utf-8", "surrogatepass").translate(LOWER).split()
     if not words:
-        return 0
+        return np.empty(0, np.dtype("<u8"))
     joined = b" ".join(words)
     width = min(width, len(words))
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
@@ -39,13 +39,20 @@ def fingerprint(text: str | None, width: int = SHINGLE) -> int:
     ends = ends[width - 1 :]
     view = memoryview(joined)
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter(
+    return np.fromiter(
         (digest(view[a:b], SEED) for a, b in zip(starts.tolist(), ends.tolist())),
         np.dtype("<u8"),
         len(ends),
     )
+
+
+def fingerprint(text: str | None, width: int = SHINGLE) -> int:
+    """SimHash of the word shingles of a text, repeats included; 0 without words."""
+    hashes = shingle_hashes(text, width)
+    if not len(hashes):
+        return 0
     bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    over_half = 2 * bits.sum(axis=0, dtype=np.int64) > len(ends)
+    over_half = 2 * bits.sum(axis=0, dtype=np.int64) > len(hashes)
     return int(np.packbits(over_half, bitorder="little").view("<u8")[0])
 
 
@@ -248,7 +255,12 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Rows that repeat the id of a document that stays are reduced to one, the least of them
     by all columns. Rows with a NULL id cannot be named and stay. All columns are kept.
     """
-    groups = materialize(near_groups(docs, id_col, text_col, radius), "groups")
+    return least_of_each(docs, near_groups(docs, id_col, text_col, radius), id_col)
+
+
+def least_of_each(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows that ``one_of_each`` keeps, for groups in columns doc_id and component_id."""
+    groups = materialize(groups, "groups")
     ids = groups.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id")
     kept = materialize(ids.agg(F.count("*").alias("n")).withColumnRenamed("doc_id", "_kept"), "kept")
     key = F.col(f"`{id_col}`")
