@@ -37,9 +37,17 @@ PATTERNS = {
     "phone": r"(?<![\w+])(?:\+[0-9]{1,3}[\x20.\-]?)?\([0-9]{2,4}\)[\x20.\-]?[0-9]{3,4}[\x20.\-]?[0-9]{3,4}(?![\w])|(?<![\w+])\+[0-9]{1,3}(?:[\x20.\-]?[0-9]{2,4}){2,5}(?![\w])|(?<![\w\-.])[0-9]{3}[\-.][0-9]{3}[\-.][0-9]{4}(?![\w\-])",
     "card": r"(?<![\w\-.])[0-9](?:[\x20\-]?[0-9]){11,18}(?![\w\-])",
 }
-PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
 KINDS = [*PATTERNS]
 
+# Groups of digits, of any number, that stand alone; card numbers are looked for among them.
+# Possessive, so that runs of many thousand groups are matched without recursion.
+_GROUP = r"[0-9]++(?!\w|-(?![0-9]))"
+DIGIT_RUN = rf"(?<![\w\-.])(?=[0-9](?:[\x20\-]?[0-9]){{11}}){_GROUP}(?:[\x20\-]{_GROUP})*+"
+# The longest that may be an account number at each place, whatever other places take in.
+IBAN_PLACES = r"(?<![\p{L}\p{N}])(?=([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?)(?![\p{L}\p{N}]))"
+CARD_DIGITS = range(19, 12, -1)
+IBAN_CHARS = range(34, 14, -1)
+
 
 def _digest(key: str, tweak: Column | str, step: Column, other: Column) -> Column:
     """Hash of a round: key, tweak, round and the half that stays."""
@@ -278,13 +286,61 @@ def pseudonym(value: Column, kind: Column, key: str) -> Column:
     )
 
 
+def _windows(text: Column, patterns: list[str], group: int, valid) -> Column:
+    """Distinct valid matches of the patterns in their order."""
+    found = [F.regexp_extract_all(text, F.lit(p), F.lit(group)) for p in patterns]
+    return F.filter(F.array_distinct(F.flatten(F.array(*found))), valid)
+
+
+def valid_cards(text: Column) -> Column:
+    """Card numbers within runs of digit groups, longer ones first.
+
+    They begin and end with a group, so numbers before and after one do not hide it. Twelve
+    digits have to be a whole run.
+    """
+    runs = F.array_join(F.array_distinct(F.regexp_extract_all(text, F.lit(DIGIT_RUN), F.lit(0))), "\n")
+    patterns = [rf"(?<![0-9])(?=([0-9](?:[\x20\-]?[0-9]){{{n - 1}}})(?![0-9]))" for n in CARD_DIGITS]
+    patterns.append(r"(?m)^(?=([0-9](?:[\x20\-]?[0-9]){11})$)")
+    return _windows(runs, patterns, 1, luhn_valid)
+
+
+def valid_ibans(text: Column) -> Column:
+    """Account numbers at any place, longer ones first; what follows one does not hide it."""
+    places = F.array_join(F.array_distinct(F.regexp_extract_all(text, F.lit(IBAN_PLACES), F.lit(1))), "\n")
+    patterns = []
+    for n in IBAN_CHARS:
+        fours, rest = divmod(n - 4, 4)
+        tail = rf"\x20?[A-Z0-9]{{{rest}}}" if rest else ""
+        patterns.append(rf"(?m)^[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{{fours}}}{tail}(?![A-Z0-9])")
+    return _windows(places, patterns, 0, iban_valid)
+
+
+def _pattern(ibans: Column, cards: Column) -> Column:
+    """The formats in order, account and card numbers as the valid ones of the row.
+
+    Numbers that fail validation are no matches, so they take nothing in.
+    """
+    parts = []
+    for name, pattern in PATTERNS.items():
+        if name == "iban":
+            one = F.concat(F.lit(r"|(?<![\p{L}\p{N}])(?:"), F.array_join(ibans, "|"), F.lit(r")(?![\p{L}\p{N}])"))
+            parts.append(F.when(F.size(ibans) > 0, one).otherwise(""))
+        elif name == "card":
+            one = F.concat(F.lit(r"|(?<![\w.])(?:"), F.array_join(cards, "|"), F.lit(r")(?!\w)"))
+            parts.append(F.when(F.size(cards) > 0, one).otherwise(""))
+        else:
+            parts.append(F.lit(("|" if parts else "") + f"(?:{pattern})"))
+    return F.concat(*parts)
+
+
 def pseudonymise(
     docs: DataFrame, text_col: str = "text", key: str = KEY, found_col: str | None = None
 ) -> DataFrame:
     """The same rows, personal values in the text under pseudonyms.
 
     Values that fail validation (a wrong check digit, no such day, an octet over 255) stay as
-    they are, and so does all text around. Equal values in one format have equal pseudonyms
+    they are, and so does all text around. Card and account numbers are validated before the
+    text is searched, so a number or word beside one hides neither it nor other values. Equal values in one format have equal pseudonyms
     under one key. NULL texts stay NULL, empty ones empty; every row and column is kept.
     With ``found_col`` a column of that name lists the kinds that were replaced, in order.
     """
@@ -293,11 +349,19 @@ def pseudonymise(
     text = F.col(f"`{text_col}`")
     # Every format has a digit or an at sign; other texts are not searched.
     likely = text.rlike("[0-9@]")
-    parts = docs.select(
+    numbers = docs.select(
         row,
         text.alias("text"),
-        F.when(likely, F.split(text, PATTERN)).alias("_between"),
-        F.when(likely, F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).alias("_found"),
+        F.when(likely, valid_ibans(text)).alias("_ibans"),
+        F.when(likely, valid_cards(text)).alias("_cards"),
+    )
+    pattern = F.when(F.col("_cards").isNotNull(), _pattern(F.col("_ibans"), F.col("_cards")))
+    searched = numbers.select("row", "text", pattern.alias("_pattern"))
+    parts = searched.select(
+        "row",
+        "text",
+        F.split("text", F.col("_pattern")).alias("_between"),
+        F.regexp_extract_all("text", F.col("_pattern"), F.lit(0)).alias("_found"),
     )
     kinds = F.transform("_found", lambda m: F.struct(m.alias("m"), kind_of(m).alias("k")))
     known = parts.select("row", "text", "_between", kinds.alias("_kinds"))
