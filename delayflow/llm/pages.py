@@ -54,6 +54,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 STRONG = frozenset("nav aside footer menu dialog".split())
 WEAK = frozenset("header form fieldset label legend option".split())
 MAIN = frozenset("article main".split())
+# How a name shuts an element out: as a whole class or id, or as a part of one with hyphens.
+WHOLE, PART = 2, 1
 STRONG_ROLES = frozenset("navigation contentinfo complementary menu menubar toolbar dialog alertdialog".split())
 WEAK_ROLES = frozenset("banner search form alert".split())
 STRONG_NAMES = frozenset(
@@ -65,6 +67,8 @@ share sharing social popup modal overlay pagination pager
     """.split()
 )
 WEAK_NAMES = frozenset("header masthead banner toolbar login signup form search widget alert skip copyright legal".split())
+# Names of marked articles that are not the page's own.
+FOREIGN = frozenset("comment comments related ad advert".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
@@ -87,6 +91,9 @@ class Block:
     link_chars: int = 0
     excluded: bool = False
     article: bool = False
+    names: tuple[tuple[int, int], ...] = ()
+    lifted: int = 0
+    doubtful: bool = False
     text: str = ""
 
     def finish(self) -> None:
@@ -95,16 +102,23 @@ class Block:
 
 @dataclass(frozen=True)
 class Place:
-    """An open element: whether it shuts its text out, and whether it marks main text."""
+    """An open element: whether it shuts its text out, and whether it marks main text.
+
+    ``names`` are the number and kind of the elements around whose name alone does so, of
+    which the first ``lifted`` have a marked article inside; ``_settle`` decides on them.
+    """
 
     tag: str
     excluded: bool = False
     strong: bool = False
     article: bool = False
+    names: tuple[tuple[int, int], ...] = ()
+    lifted: int = 0
 
 
-def _place(tag: str, attrs: str, above: Place | None) -> Place:
+def _place(tag: str, attrs: str, above: Place | None, number: int = 0) -> Place:
     excluded = above.excluded if above else False
+    named, lifted = (above.names, above.lifted) if above else ((), 0)
     strong = above.strong if above else False
     article = above.article if above else False
     values = {}
@@ -112,7 +126,8 @@ def _place(tag: str, attrs: str, above: Place | None) -> Place:
         for name, a, b, c in _ATTR.findall(attrs):
             values[name.lower()] = (a or b or c).lower()
     role = values.get("role", "")
-    names = set(_NAME.split(values.get("class", "") + " " + values.get("id", "")))
+    whole = (values.get("class", "") + " " + values.get("id", "")).split()
+    names = set(_NAME.split(" ".join(whole)))
     marks = tag in MAIN or role in ("main", "article") or values.get("itemprop") == "articlebody"
     hidden = (
         "hidden" in values
@@ -120,18 +135,24 @@ def _place(tag: str, attrs: str, above: Place | None) -> Place:
         or re.search(r"display\s*:\s*none", values.get("style", "")) is not None
     )
     plain = tag not in ("html", "body")
-    if hidden or tag in STRONG or role in STRONG_ROLES or (plain and names & STRONG_NAMES and not marks):
+    if hidden or tag in STRONG or role in STRONG_ROLES:
         excluded = strong = True
-    elif marks and names & {"comment", "comments", "related", "ad", "advert"}:
+    elif plain and names & STRONG_NAMES and not marks:
+        named += ((number, WHOLE if STRONG_NAMES.intersection(whole) else PART),)
+    elif marks and FOREIGN.intersection(whole):
         excluded = strong = True
     elif marks and not strong:
         # Main text inside a form, a header or the like that wraps the page.
-        excluded, article = False, True
-    elif not article and (tag in WEAK or role in WEAK_ROLES or (plain and names & WEAK_NAMES)):
+        excluded, article, lifted = False, True, len(named)
+        if names & FOREIGN:
+            named += ((number, PART),)
+    elif not article and (tag in WEAK or role in WEAK_ROLES or (plain and WEAK_NAMES.intersection(whole))):
         excluded = True
+    elif not article and plain and names & WEAK_NAMES:
+        named += ((number, PART),)
     elif article and tag in ("form", "fieldset", "label", "legend", "option"):
         excluded = True
-    return Place(tag, excluded, strong, article)
+    return Place(tag, excluded, strong, article, named, lifted)
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -148,7 +169,10 @@ def blocks_of(page: str) -> list[Block]:
         if block.text:
             found.append(block)
         top = stack[-1] if stack else None
-        block = Block(excluded=bool(top and top.excluded), article=bool(top and top.article))
+        block = Block()
+        if top:
+            block.excluded, block.article = top.excluded, top.article
+            block.names, block.lifted = top.names, top.lifted
 
     def add(text: str) -> None:
         nonlocal breaks
@@ -196,22 +220,52 @@ def blocks_of(page: str) -> list[Block]:
             elif tag in ("li", "td", "th", "tr", "dt", "dd") and stack and stack[-1].tag in ("p", tag):
                 _leave(stack, tag, within=2)
             if tag not in VOID:
-                stack.append(_place(tag, match["attrs"] or match["attrs2"] or "", stack[-1] if stack else None))
+                stack.append(_place(tag, match["attrs"] or match["attrs2"] or "", stack[-1] if stack else None, at))
             in_link = 0
             end_block()
         elif tag not in VOID:
             attrs = match["attrs"] or match["attrs2"] or ""
             if "hidden" in attrs or "class" in attrs or "display" in attrs or "role" in attrs:
-                place = _place(tag, attrs, stack[-1] if stack else None)
-                if stack and place.excluded != stack[-1].excluded or not stack and place.excluded:
+                above = stack[-1] if stack else Place("")
+                place = _place(tag, attrs, stack[-1] if stack else None, at)
+                if (place.excluded, place.names) != (above.excluded, above.names):
                     stack.append(place)
                     end_block()
     add(page[at:])
     stack.clear()
     end_block()
+    _settle(found)
     return found
 
 
+def _settle(blocks: list[Block]) -> None:
+    """Shut out what names alone shut out, unless the element wraps the page's main text.
+
+    A marked article inside lifts the exclusion: of a part of a name always, of a whole name
+    if no article stands outside. An element named by a part is no menu either if it holds
+    the larger part of the text that passes the first pass by itself.
+    """
+    outside = any(b.article and not b.excluded and not b.names for b in blocks)
+    left: list[list[int]] = []
+    for b in blocks:
+        still = [n for i, n in enumerate(b.names) if i >= b.lifted or n[1] == WHOLE and outside]
+        b.excluded = b.excluded or any(kind == WHOLE for _, kind in still)
+        left.append([number for number, _ in still])
+    good: dict[int, int] = {}
+    total = 0
+    for b, numbers in zip(blocks, left):
+        if first_pass(b):
+            total += len(b.text)
+            for number in numbers:
+                good[number] = good.get(number, 0) + len(b.text)
+    for b, numbers in zip(blocks, left):
+        b.doubtful = any(2 * good.get(number, 0) <= total for number in numbers)
+    # Parts of names do not leave a page without text.
+    if any(not b.excluded and not b.doubtful for b in blocks):
+        for b in blocks:
+            b.excluded = b.excluded or b.doubtful
+
+
 def _leave(stack: list[Place], tag: str, within: int | None = None) -> None:
     """Close the nearest open ``tag`` and what is open inside it."""
     low = max(0, len(stack) - within) if within else 0
@@ -245,8 +299,11 @@ def second_pass(blocks: list[Block], labels: list[bool | None]) -> list[bool]:
 
     Inside a marked article the nearest decided block of the article counts, and its own mark
     where there is none. Where no block of a page is good, all that are no menus are its text.
+    Text outside of marked articles counts only if more of it is good by itself than inside.
     """
-    marked = any(b.article and not b.excluded for b in blocks)
+    inside = sum(len(b.text) for b, good in zip(blocks, labels) if good and b.article)
+    beside = sum(len(b.text) for b, good in zip(blocks, labels) if good and not b.article)
+    marked = inside >= beside and any(b.article and not b.excluded for b in blocks)
 
     def nearest(order) -> dict[int, tuple[int, bool]]:
         out, last = {}, None
