@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from delayflow.llm import decontamination, packing, pseudonyms, rules, shingles
+from delayflow.llm import decontamination, packing, pseudonyms, rules, simhash
 from delayflow.workspace import materialize
 
 
@@ -14,8 +14,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose five-word shingles overlap to 0.8 or more."""
-    return shingles.one_of_each(docs)
+    """One document of each group of near fingerprints: three-word shingles, at most two bits apart."""
+    return simhash.one_of_each(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
