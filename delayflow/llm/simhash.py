@@ -22,6 +22,8 @@ SEED = 42
 BITS = 64
 # Fingerprints in a tile; a pair of tiles is one piece of work.
 TILE = 1_024
+# Hashes whose bits are unpacked at once.
+BLOCK = 65_536
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -51,8 +53,12 @@ def fingerprint(text: str | None, width: int = SHINGLE) -> int:
     hashes = shingle_hashes(text, width)
     if not len(hashes):
         return 0
-    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    over_half = 2 * bits.sum(axis=0, dtype=np.int64) > len(hashes)
+    ones = np.zeros(BITS, np.int64)
+    # A bit takes a byte when unpacked, so long texts are summed in blocks.
+    for start in range(0, len(hashes), BLOCK):
+        block = hashes[start : start + BLOCK].view(np.uint8).reshape(-1, 8)
+        ones += np.unpackbits(block, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    over_half = 2 * ones > len(hashes)
     return int(np.packbits(over_half, bitorder="little").view("<u8")[0])
 
 
@@ -225,13 +231,14 @@ def _pairs(links: list[tuple[int, int]]) -> pa.RecordBatch:
 def near_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS
 ) -> DataFrame:
-    """Columns doc_id, fingerprint (long) and component_id of each document.
-
-    ``component_id`` is the least id that near fingerprints reach, a document's own
-    included. Only distinct fingerprints are compared, so copies cost nothing. Texts without
-    words have fingerprint 0 and are linked like others. Rows with a NULL id are members but
-    name a component only if it has no other id. Repeated rows stay; other columns are
-    not read; no documents give no rows.
+    """Columns doc_id, fingerprint (long), component and component_id of each document.
+
+    ``component`` is the least fingerprint of the group (as a signed number), ``component_id``
+    the least id that near fingerprints reach, a document's own included; groups that share an
+    id on several rows may share a ``component_id``, never a ``component``. Only distinct
+    fingerprints are compared, so copies cost nothing. Texts without words have fingerprint 0
+    and are linked like others. Rows with a NULL id are members but name a component only if it
+    has no other id. Repeated rows stay; other columns are not read; no documents give no rows.
     """
     marked = materialize(fingerprints(docs, id_col, text_col), "fingerprints")
     first = materialize(
@@ -245,34 +252,57 @@ def near_groups(
     least = reached.groupBy("component").agg(F.min("first").alias("component_id"))
     named = join_dimension(reached, least, ["component"], "left")
     return join_dimension(
-        marked, named.select("fingerprint", "component_id"), ["fingerprint"], "left"
-    ).select("doc_id", "fingerprint", "component_id")
+        marked, named.select("fingerprint", "component", "component_id"), ["fingerprint"], "left"
+    ).select("doc_id", "fingerprint", "component", "component_id")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
     """One document of each group of near ones stays, that with the least id.
 
-    Rows that repeat the id of a document that stays are reduced to one, the least of them
-    by all columns. Rows with a NULL id cannot be named and stay. All columns are kept.
+    Where an id stands on several rows, a row is told by its id and its fingerprint: each group
+    keeps the row of its least id, of several the least by fingerprint and then by all
+    columns. Rows with a NULL id cannot be named and stay. All columns are kept; empty texts
+    are one group; no documents give no rows.
     """
-    return least_of_each(docs, near_groups(docs, id_col, text_col, radius), id_col)
-
-
-def least_of_each(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows that ``one_of_each`` keeps, for groups in columns doc_id and component_id."""
-    groups = materialize(groups, "groups")
-    ids = groups.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id")
-    kept = materialize(ids.agg(F.count("*").alias("n")).withColumnRenamed("doc_id", "_kept"), "kept")
+    groups = materialize(near_groups(docs, id_col, text_col, radius), "groups")
+    per_id = groups.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.count("*").alias("rows"), F.max(F.col("doc_id") == F.col("component_id")).alias("least")
+    )
+    ids = materialize(per_id.filter("least").select(F.col("doc_id").alias("_kept"), "rows"), "kept")
     key = F.col(f"`{id_col}`")
 
     def with_ids(wanted: DataFrame) -> DataFrame:
         side = wanted.select(F.col("_kept").alias(id_col))
         return join_dimension(docs, side, [id_col], "left_semi")
 
-    once = with_ids(kept.filter("n = 1")).unionByName(docs.filter(key.isNull()))
-    repeated = kept.filter("n > 1")
+    once = with_ids(ids.filter("rows = 1")).unionByName(docs.filter(key.isNull()))
+    repeated = ids.filter("rows > 1")
     if repeated.isEmpty():
         return once
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    reduced = with_ids(repeated).groupBy(key.alias("_kept")).agg(F.min(row).alias("_row"))
-    return once.unionByName(reduced.select("_row.*"))
+    own = groups.filter(F.col("doc_id") == F.col("component_id")).groupBy("component")
+    survivors = own.agg(F.min(F.struct("fingerprint", "doc_id")).alias("_least")).select(
+        F.col("_least.doc_id").alias("_id"), F.col("_least.fingerprint").alias("_print")
+    )
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    several = with_ids(repeated).select(key.alias("_id"), F.col(f"`{text_col}`").alias("_text"), row)
+    marked = _marked(several)
+    reduced = join_dimension(marked, survivors, ["_id", "_print"], "left_semi")
+    return once.unionByName(
+        reduced.groupBy("_id", "_print").agg(F.min("_row").alias("_row")).select("_row.*")
+    )
+
+
+def _marked(rows: DataFrame) -> DataFrame:
+    """Columns _id, _print and _row of rows with columns _id, _text and _row."""
+    schema = T.StructType(
+        [rows.schema["_id"], T.StructField("_print", T.LongType()), rows.schema["_row"]]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            values = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(values.view(np.int64)), batch.column(2)], names=schema.names
+            )
+
+    return rows.mapInArrow(run, schema)

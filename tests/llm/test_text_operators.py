@@ -224,6 +224,25 @@ def test_near_odd_rows(spark, nasty):
     assert simhash.one_of_each(nasty.limit(0)).count() == 0
 
 
+def test_repeated_ids_lose_no_group(spark):
+    rng = random.Random(2)
+    prose = [" ".join(f"w{rng.randrange(9_999)}" for _ in range(80)) for _ in range(4)]
+    # Id 1 heads two groups and stands twice in one of them; 2 and 3 are copies under other ids.
+    said = [(1, prose[0], "b"), (1, prose[1], "a"), (1, prose[1], "c"), (2, prose[0], "x"), (3, prose[1], "x"),
+            (4, prose[2], "x"), (5, prose[3], "x"), (None, prose[3], "x")]
+    docs = spark.createDataFrame(said, "doc_id long, text string, source string")
+    kept = {(r.doc_id, r.text, r.source) for r in simhash.one_of_each(docs).collect()}
+    assert kept == {said[0], said[1], said[5], said[6], said[7]}
+
+
+def test_fingerprints_of_long_texts_are_summed_in_blocks(monkeypatch):
+    rng = random.Random(4)
+    text = " ".join(f"w{rng.randrange(99)}" for _ in range(1_000))
+    whole = simhash.fingerprint(text)
+    monkeypatch.setattr(simhash, "BLOCK", 7)
+    assert simhash.fingerprint(text) == whole
+
+
 def test_components_of_a_long_chain(spark):
     chain = spark.range(0, 200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     extra = spark.createDataFrame([(500, 501), (7, 7), (None, 3)], "a long, b long")
