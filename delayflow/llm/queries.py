@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delayflow.llm import (
-    archives, decontamination, dialogues, licenses, ordinal, packing, pages, pseudonyms, rules, simhash,
+    archives, decontamination, dialogues, infill, licenses, ordinal, packing, pages, pseudonyms, rules, simhash,
 )
 from delayflow.workspace import materialize, new_path
 
@@ -226,3 +226,44 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", "perspective", "part", F.col("n_messages").cast("long").alias("n_messages"),
         F.size("mask").cast("long").alias("n_trained"), "text", F.array_join(spans, ",").alias("mask"),
     )
+
+
+OP11_SQL = """
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') AS u,
+    sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents
+), d AS (
+  SELECT doc_id, text, u, len(u) AS n,
+    CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(u) + 1) AS one,
+    CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(u) + 1) AS other,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+        OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 50 THEN 'plain'
+      WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM t
+), p AS (
+  SELECT *, array_to_string(u[1:least(one, other)], '') AS prefix,
+    array_to_string(u[least(one, other) + 1:greatest(one, other)], '') AS middle,
+    array_to_string(u[greatest(one, other) + 1:], '') AS suffix
+  FROM d
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+@query("op11_fill_in_middle", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = infill.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    names = ["n", "form", "prefix_chars", "middle_chars"]
+    output, form = F.col("infill.output"), F.col("infill.form")
+    return found.select(
+        "doc_id", *[F.col(f"infill.{n}").alias(n) for n in names], F.sha2(output, 256).alias("output_sha256"),
+        F.sha2(infill.restore(output, form), 256).alias("restored_sha256"),
+    )
