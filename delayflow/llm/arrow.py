@@ -11,7 +11,9 @@ SLICE_BYTES = 8 * 1024 * 1024
 SLICE_ROWS = 2_000
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+def slices(
+    batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS, size: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
     """The same rows in the same order, in slices of few rows and few bytes.
 
     A single row is never cut, however long its text is.
@@ -20,7 +22,7 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
         if batch.num_rows == 0:
             continue
         each = max(1, batch.nbytes // batch.num_rows)
-        step = int(max(1, min(rows, SLICE_BYTES // each)))
+        step = int(max(1, min(rows, size // each)))
         for start in range(0, batch.num_rows, step):
             yield batch.slice(start, step)
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delayflow.llm import (
-    archives, decontamination, dialogues, infill, licenses, ordinal, packing, pages, pseudonyms, rules, simhash,
+    archives, bytepairs, decontamination, dialogues, infill, licenses, ordinal, packing, pages, pseudonyms, rules, simhash,
 )
 from delayflow.workspace import materialize, new_path
 
@@ -267,3 +267,20 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *[F.col(f"infill.{n}").alias(n) for n in names], F.sha2(output, 256).alias("output_sha256"),
         F.sha2(infill.restore(output, form), 256).alias("restored_sha256"),
     )
+
+
+RANKS = "byte_bpe_multi_50k.tiktoken"
+
+
+@query("op12_byte_pairs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = bytepairs.read_ranks(public_tokenizers.path(RANKS))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = bytepairs.encode(docs, ranks, public_tokenizers.PATTERN)
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(bytepairs.little_endian(F.col("ids"), ranks), 256).alias("ids_sha256"),
+        F.sha2(bytepairs.decode(F.col("ids"), ranks), 256).alias("decoded_sha256"),
+    )
