@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delayflow.llm import (
-    archives, bytepairs, decontamination, dialogues, infill, licenses, ordinal, packing, pages, pseudonyms, rules, simhash,
+    archives, bytepairs, decontamination, dialogues, infill, licenses, ordinal, packing, pages, pseudonyms, repair, rules, simhash,
 )
+from delayflow.operators.joins import join_dimension
 from delayflow.workspace import materialize, new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -284,3 +285,100 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(bytepairs.little_endian(F.col("ids"), ranks), 256).alias("ids_sha256"),
         F.sha2(bytepairs.decode(F.col("ids"), ranks), 256).alias("decoded_sha256"),
     )
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with faults: rows dropped, emptied, cut, repeated or said by a user, by their checksum."""
+    blank = {c: F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")}
+    chance = F.pmod(F.crc32(F.concat(blank["conv_id"], F.lit(":"), blank["turn"]).cast("binary")), F.lit(20))
+    text = F.when(chance == 1, "").when(chance == 2, F.regexp_replace(blank["text"], "[.!?]", "")).otherwise(blank["text"])
+    role = F.when(chance == 4, "user").otherwise(blank["role"])
+    copies = F.explode(F.when(chance == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    hit = turns.select("conv_id", "turn", role.alias("role"), text.alias("text"), chance.alias("chance"))
+    return hit.filter("chance <> 0").select("conv_id", "turn", "role", "text", copies.alias("copy")).drop("copy")
+
+
+OP13_SQL = """
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    list_reduce([4294967295] || list_transform(
+        string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+        lambda x: CAST(ord(x) AS BIGINT)),
+      lambda c, b: list_reduce([xor(c, b)] || range(8),
+        lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS crc
+  FROM conversations
+), hit AS (
+  SELECT conv_id, turn, xor(crc, 4294967295) % 20 AS chance, role, text FROM keyed
+), said AS (
+  SELECT conv_id, turn, CASE chance WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE chance WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE chance WHEN 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM hit WHERE chance <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM said
+), faults AS (
+  SELECT *, left(role, 1) AS initial, CASE WHEN body = '' THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM placed
+), counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+    count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+    count(*) FILTER (WHERE before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal,
+    max(i) AS n
+  FROM faults GROUP BY conv_id
+), ways(state, spot, inserted, added) AS (
+  VALUES (0, 0, '', ''), (0, 2, 'I', 'user:' || chr(10)), (0, 3, 'II', 'user:' || chr(10) || 'assistant:' || chr(10)),
+    (1, 1, '', ''), (1, 2, 'I', 'user:' || chr(10)), (1, 3, 'II', 'user:' || chr(10) || 'assistant:' || chr(10)),
+    (2, 2, '', ''), (2, 3, 'I', 'assistant:' || chr(10)), (3, 3, '', ''), (3, 2, 'I', 'user:' || chr(10))
+), edits(spot, edit, behind, wanted, given) AS (
+  VALUES (0, 'D', 0, '', ''), (1, 'D', 1, '', ''), (2, 'D', 2, '', ''), (3, 'D', 3, '', ''),
+    (0, 'K', 1, 's', ''), (0, 'K', 2, 'u', ''), (1, 'K', 2, 'u', ''), (3, 'K', 2, 'u', ''), (2, 'K', 3, 'a', ''),
+    (0, 'R', 2, '', 'user'), (1, 'R', 2, '', 'user'), (3, 'R', 2, '', 'user'), (2, 'R', 3, '', 'assistant')
+), moves AS (
+  SELECT state, behind, edit, wanted, given, inserted, added FROM ways JOIN edits USING (spot)
+), best AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, 0 AS state, {'cost': CAST(0 AS BIGINT), 'audit': '', 'lines': ''} AS b FROM counted
+  UNION ALL
+  SELECT v.conv_id, v.i + 1, m.behind, min({
+    'cost': b.cost + 3 * length(inserted) + CASE edit WHEN 'D' THEN 4 WHEN 'R' THEN 3 ELSE 0 END
+      + CASE WHEN edit <> 'D' AND f.fault = 'truncated' THEN 3 ELSE 0 END,
+    'audit': b.audit || inserted || edit,
+    'lines': b.lines || added || CASE edit WHEN 'D' THEN '' WHEN 'K' THEN f.role || ':' || f.text || chr(10)
+      ELSE given || ':' || f.text || chr(10) END})
+  FROM best v JOIN faults f ON f.conv_id IS NOT DISTINCT FROM v.conv_id AND f.i = v.i + 1
+  JOIN moves m ON m.state = v.state AND (m.wanted = '' OR m.wanted = f.initial)
+    AND (m.edit = 'D' OR f.fault NOT IN ('blank', 'duplicate'))
+  GROUP BY v.conv_id, v.i, m.behind
+), done AS (
+  SELECT v.conv_id, min({'cost': b.cost + 3 * length(inserted), 'audit': b.audit || inserted, 'lines': b.lines || added}) AS b
+  FROM best v JOIN counted c ON c.conv_id IS NOT DISTINCT FROM v.conv_id AND c.n = v.i
+  JOIN ways w ON w.state = v.state AND w.spot IN (0, 3) GROUP BY v.conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(b.cost, 0) AS cost,
+  coalesce(b.audit, '') AS audit, sha256(coalesce(left(b.lines, length(b.lines) - 1), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
+@query("op13_conversation_repair", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    found = repair.repair(damaged(turns))
+    same = F.struct("conv_id").alias("_same")
+    reports = found.reports.select(same, *[c for c in found.reports.columns if c != "conv_id"])
+    hashes = repair.digests(found.messages).select(same, "sha256")
+    whole = turns.select("conv_id").distinct().withColumn("_same", F.struct("conv_id"))
+    told = join_dimension(join_dimension(whole, reports, ["_same"], "left"), hashes, ["_same"], "left")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return told.select(
+        "conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
