@@ -1,7 +1,7 @@
 """Byte-level byte-pair encoding with the ranks of a given vocabulary, and decoding.
 
 Merges are folded by Spark's higher-order functions over the bytes of distinct words, with the
-ranks as one literal. Words that are frequent in the whole table are folded once and copied to
+ranks as one literal; decoding puts the pieces of ids one after the other. Words that are frequent in the whole table are folded once and copied to
 the tasks, a number with a bound; the others are folded once per block of documents. So no row of
 the table is shuffled, and no copied data grows with it.
 """
@@ -16,7 +16,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,9 +33,13 @@ NO_MERGE = (1 << 31) - 1
 # Longer ones, runs of one kind of character, are merged from a heap, with equal results.
 FOLD_BYTES = 256
 # Words that are copied to all tasks, at most, and text in a block of documents.
-FREQUENT_WORDS = 1 << 18
-BLOCK_BYTES = 32 * 1024 * 1024
+FREQUENT_WORDS = 1 << 20
+BLOCK_BYTES = 8 * 1024 * 1024
 BLOCK_ROWS = 50_000
+OUT_ROWS = 500
+
+# White space, which is ASCII alone in Java's classes unless it is written out.
+WHITE = r"\t-\r\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -142,18 +148,40 @@ def heap_merges(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in pieces if p is not None]
 
 
+def java_pattern(pattern: str) -> str:
+    """The same pattern for Java, where no class of white space is within another one but as ``\\s``."""
+    out, inside = [], False
+    for token in regex.findall(r"\\.|.", pattern):
+        inside = (inside or token == "[") and token != "]"
+        if token == r"\s":
+            token = WHITE if inside else f"[{WHITE}]"
+        elif token == r"\S":
+            token = f"[^{WHITE}]"
+        out.append(token)
+    return "".join(out)
+
+
+def words_of(text: Column, pattern: str) -> Column:
+    """Matches of the pattern in a text; NULL if it has characters that this Java does not know.
+
+    Those may be letters to others, so such texts are cut by the pattern's own library.
+    """
+    found = F.regexp_extract_all(text, F.lit(java_pattern(pattern)), F.lit(0))
+    return F.when(~text.rlike(r"\p{Cn}"), found)
+
+
 def frequent_words(docs: DataFrame, text_col: str, pattern: str, most: int) -> DataFrame:
-    """Column word (binary): the words of the whole table that are most frequent, ``most`` at most.
+    """Column word: the words of the whole table that are most frequent, ``most`` at most.
 
     All words are counted, before the shuffle too. A histogram of the counts, of some hundreds of
     rows, tells from which count on there are few enough. It decides only where a word is
     folded, never its ids.
     """
-    found = docs.select(F.explode(F.regexp_extract_all(F.col(f"`{text_col}`"), F.lit(pattern), F.lit(0))).alias("word"))
+    found = docs.select(F.explode(words_of(F.col(f"`{text_col}`"), pattern)).alias("word"))
     short = found.filter(F.octet_length("word") <= FOLD_BYTES)
     level = F.floor(F.log2("n") * 8).cast("int").alias("level")
     counts = short.groupBy("word").agg(F.count("*").alias("n")).filter("n > 1")
-    stored = materialize(counts.select(F.col("word").cast("binary").alias("word"), level), "word-counts")
+    stored = materialize(counts.select("word", level), "word-counts")
     least, held = 1 << 30, 0
     for row in sorted(stored.groupBy("level").agg(F.count("*").alias("n")).collect(), reverse=True):
         held += row["n"]
@@ -163,12 +191,40 @@ def frequent_words(docs: DataFrame, text_col: str, pattern: str, most: int) -> D
     return stored.filter(F.col("level") >= least).select("word")
 
 
-class _Numbers(dict):
-    """Numbers of words in the order in which they are first asked for."""
+def _filled(words: pa.ListArray, texts: pa.Array, matches) -> pa.ListArray:
+    """Words of each text, those that are NULL found by ``matches``."""
+    if not words.null_count:
+        return words
+    pieces, done = [], 0
+    for row in np.flatnonzero(np.asarray(words.is_null())).tolist():
+        pieces += [words.slice(done, row - done), pa.array([matches(texts[row].as_py())], words.type)]
+        done = row + 1
+    return pa.concat_arrays([*pieces, words.slice(done)])
+
+
+class Lexicon:
+    """Places of words in an array: found by their hashes in order, told by the words themselves."""
 
-    def __missing__(self, word: str) -> int:
-        self[word] = number = len(self)
-        return number
+    def __init__(self, words: pa.Array) -> None:
+        self.words = words
+        hashes = self._hashes(words)
+        self.order = np.argsort(hashes, kind="stable")
+        self.hashes = hashes[self.order]
+
+    @staticmethod
+    def _hashes(words: pa.Array) -> np.ndarray:
+        digest = xxhash.xxh3_64_intdigest
+        return np.fromiter(map(digest, words.cast(pa.binary()).to_pylist()), np.uint64, len(words))
+
+    def places(self, wanted: pa.Array) -> np.ndarray:
+        """Place of each word, -1 for those that are not there; words with equal hashes but the first are not."""
+        if not len(self.words) or not len(wanted):
+            return np.full(len(wanted), -1, np.int32)
+        hashes = self._hashes(wanted)
+        near = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        place = self.order[near].astype(np.int32)
+        same = np.asarray(pc.equal(self.words.take(pa.array(place)), wanted))
+        return np.where(same, place, np.int32(-1))
 
 
 def encode(
@@ -179,9 +235,14 @@ def encode(
     out_col: str = "ids",
     most: int = FREQUENT_WORDS,
     block_bytes: int = BLOCK_BYTES,
+    decoded_col: str | None = None,
+    packed_col: str | None = None,
 ) -> DataFrame:
     """All rows and columns, and last the array of token ids of the text.
 
+    With ``decoded_col`` and ``packed_col`` the bytes that the ids decode to and the packed ids
+    follow, as ``decode`` gives them, without another pass over the rows.
+
     Each match of ``pattern`` is merged for itself; text that looks like a special token is
     ordinary. NULL and empty texts have no ids; equal rows have equal ids; the column's name is
     made longer if a column has it; no documents give no rows. Texts and words of any
@@ -193,96 +254,143 @@ def encode(
         raise ValueError(f"bytes without rank: {sorted(single)}")
     table = rank_literal(ranks)
     head = frequent_words(docs, text_col, pattern, most)
-    folded = head.select("word", _bound(table, lambda t: fold_merges(F.col("word"), t)).alias("ids"))
+    folded = head.select("word", _bound(table, lambda t: fold_merges(F.col("word").cast("binary"), t)).alias("ids"))
     # The bound on words, and that on the bytes of each, bound what is copied to the tasks.
     known = folded.toArrow().combine_chunks()
-    texts, lists = known["word"].to_pylist(), known["ids"].to_pylist()
-    words = spark.sparkContext.broadcast({w.decode(): -i - 1 for i, w in enumerate(texts)})
-    sizes = np.cumsum([0, *map(len, lists)]).astype(np.int32)
-    flat = np.array([i for ids in lists for i in ids], np.int32)
-    frequent = spark.sparkContext.broadcast((sizes, flat))
+    lexicon = spark.sparkContext.broadcast(Lexicon(_whole(known["word"])))
+    frequent = spark.sparkContext.broadcast(_whole(known["ids"]))
+    head_size = known.num_rows
     everything = spark.sparkContext.broadcast(ranks)
+    pieces_of = spark.sparkContext.broadcast(_pieces(ranks))
 
     name = fresh_name(docs, out_col)
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    bytes_names = [fresh_name(docs, c) for c in (decoded_col, packed_col) if c]
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), words_of(text, pattern).alias("words"))
     place = docs.columns.index(text_col)
     numbers = T.ArrayType(T.IntegerType())
     block = T.StructType(
         [
             T.StructField("rows", T.ArrayType(row.schema["row"].dataType)),
             T.StructField("places", T.ArrayType(numbers)),
-            T.StructField("words", T.ArrayType(T.BinaryType())),
+            T.StructField("rare", T.ArrayType(T.StringType())),
         ]
     )
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matches = regex.compile(pattern).findall
         for batch in slices(batches, BLOCK_ROWS, block_bytes):
-            own = _Numbers()
-            place_of = words.value.get
-            found = []
-            for text in batch.column(0).field(place).to_pylist():
-                parts = matches(text or "")
-                at = [place_of(w) for w in parts]
-                found.append(np.array([own[w] if n is None else n for n, w in zip(at, parts)], np.int32))
-            ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-            values = np.concatenate(found)
-            whole = np.array([0, batch.num_rows], np.int32)
+            words = _filled(batch.column(1), batch.column(0).field(place), matches)
+            coded = words.flatten().dictionary_encode()
+            # A word's number is its place among the frequent ones, or behind them among the rare.
+            number = lexicon.value.places(coded.dictionary)
+            absent = number < 0
+            number[absent] = head_size + np.arange(absent.sum(), dtype=np.int32)
+            values = number[np.asarray(coded.indices)] if len(number) else np.empty(0, np.int32)
+            ends = np.concatenate([[0], np.cumsum(np.asarray(words.value_lengths()))]).astype(np.int32)
+            rare = coded.dictionary.filter(pa.array(absent))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.ListArray.from_arrays(whole, batch.column(0)),
-                    pa.ListArray.from_arrays(whole, pa.ListArray.from_arrays(ends, values)),
-                    pa.array([[w.encode() for w in own]], pa.list_(pa.binary())),
+                    pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column(0)),
+                    pa.ListArray.from_arrays(
+                        pa.array([0, batch.num_rows], pa.int32()), pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+                    ),
+                    pa.ListArray.from_arrays(pa.array([0, len(rare)], pa.int32()), rare),
                 ],
                 names=block.names,
             )
 
     ids = _bound(
         table,
-        lambda t: F.transform("words", lambda w: F.when(F.length(w) <= FOLD_BYTES, fold_merges(w, t))),
+        lambda t: F.transform(
+            "rare", lambda w: F.when(F.octet_length(w) <= FOLD_BYTES, fold_merges(w.cast("binary"), t))
+        ),
     )
     blocks = row.mapInArrow(split, block).withColumn("folded", ids)
-    schema = T.StructType([row.schema["row"], T.StructField(name, numbers)])
+    given = [T.StructField(n, T.BinaryType()) for n in bytes_names]
+    schema = T.StructType([row.schema["row"], T.StructField(name, numbers), *given])
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        starts, values = frequent.value
-        common = pa.ListArray.from_arrays(starts, values)
+        common = frequent.value
+        texts = pa.array(pieces_of.value if decoded_col else [], pa.binary())
         for batch in batches:
             for i in range(batch.num_rows):
-                one = batch.slice(i, 1)
-                rows, places, rare, merged = (one.column(c).flatten() for c in range(4))
+                rows, places, rare, merged = (batch.column(c).slice(i, 1).flatten() for c in range(4))
                 if merged.null_count:
-                    long = [None if m.is_valid else heap_merges(w.as_py(), everything.value) for m, w in zip(merged, rare)]
-                    merged = pa.array([m.as_py() if h is None else h for m, h in zip(merged, long)], merged.type)
-                pieces = pa.concat_arrays([common, merged.cast(common.type)])
-                at = places.flatten().to_numpy().astype(np.int64)
-                at = np.where(at < 0, -at - 1, at + len(common))
-                taken = pieces.take(pa.array(at))
+                    merged = _filled(merged, rare, lambda w: heap_merges(w.encode(), everything.value))
+                at = places.flatten()
+                taken = pa.concat_arrays([common, merged.cast(common.type)]).take(at)
                 ends = np.concatenate([[0], np.cumsum(np.asarray(taken.value_lengths()))])
                 each = np.concatenate([[0], np.cumsum(np.asarray(places.value_lengths()))])
-                lists = pa.ListArray.from_arrays(ends[each].astype(np.int32), taken.flatten())
-                for start in range(0, len(rows), 500):
-                    yield pa.RecordBatch.from_arrays([rows[start : start + 500], lists[start : start + 500]], names=["row", name])
+                lists = pa.ListArray.from_arrays(pa.array(ends[each].astype(np.int32)), taken.flatten())
+                for start in range(0, len(rows), OUT_ROWS):
+                    ids = lists.slice(start, OUT_ROWS)
+                    made = [f(ids) for f, c in ((lambda x: _decoded(x, texts), decoded_col), (_packed, packed_col)) if c]
+                    yield pa.RecordBatch.from_arrays([rows.slice(start, OUT_ROWS), ids, *made], names=schema.names)
 
-    return blocks.mapInArrow(assemble, schema).select("row.*", name)
+    return blocks.mapInArrow(assemble, schema).select("row.*", name, *bytes_names)
 
 
-def _texts(ids: Column, texts: list[str]) -> Column:
-    """The texts that ids stand for, one after the other; an id without one spoils the digits."""
-    table = F.from_json(F.lit(json.dumps(texts, separators=(",", ":"))), "array<string>")
-    return _bound(
-        table, lambda t: F.array_join(F.transform(ids, lambda i: F.coalesce(F.get(t, i), F.lit("?"))), "")
-    )
+def _pieces(ranks: dict[bytes, int]) -> list[bytes | None]:
+    """Pieces by id."""
+    pieces: list[bytes | None] = [None] * (max(ranks.values()) + 1)
+    for piece, rank in ranks.items():
+        pieces[rank] = piece
+    return pieces
 
 
-def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
-    """The bytes of token ids; NULL if an id is not in the vocabulary or there are no ids at all."""
-    pieces = ["?"] * (max(ranks.values()) + 1)
-    for piece, rank in ranks.items():
-        pieces[rank] = piece.hex().upper()
-    return F.unhex(_texts(ids, pieces))
+def _joined(lists: pa.ListArray, ends: np.ndarray, data: pa.Buffer, unknown: np.ndarray) -> pa.Array:
+    """Binary values that lie one behind the other; NULL for lists that are, or that hold an unknown id."""
+    edges = np.concatenate([[0], np.cumsum(np.asarray(pc.fill_null(lists.value_lengths(), 0)))])
+    bad = np.concatenate([[0], np.cumsum(unknown)])[edges]
+    valid = np.asarray(lists.is_valid()) & (bad[1:] == bad[:-1])
+    offsets = ends[edges].astype(np.int32)
+    mask = pa.array(valid).buffers()[1]
+    return pa.Array.from_buffers(pa.binary(), len(lists), [mask, pa.py_buffer(offsets), data])
+
+
+def _decoded(lists: pa.ListArray, pieces: pa.Array) -> pa.Array:
+    """The pieces of each list of ids one after the other: those of all lists are one stretch of bytes."""
+    ids = np.asarray(pc.fill_null(lists.flatten(), -1)).astype(np.int64)
+    outside = (ids < 0) | (ids >= len(pieces))
+    taken = pieces.take(pa.array(np.where(outside, 0, ids)))
+    unknown = outside | np.asarray(taken.is_null())
+    sizes = np.asarray(pc.fill_null(pc.binary_length(taken), 0))
+    data = taken.buffers()[2] or pa.py_buffer(b"")
+    return _joined(lists, np.concatenate([[0], np.cumsum(sizes)]), data, unknown)
+
 
+def _packed(lists: pa.ListArray) -> pa.Array:
+    """Ids of each list as unsigned 32-bit numbers, least byte first."""
+    flat = lists.flatten()
+    ids = np.asarray(pc.fill_null(flat, 0)).astype("<u4")
+    return _joined(lists, 4 * np.arange(len(ids) + 1), pa.py_buffer(ids), np.asarray(flat.is_null()))
 
-def little_endian(ids: Column, ranks: dict[bytes, int]) -> Column:
-    """Token ids as unsigned 32-bit numbers, least byte first."""
-    return F.unhex(_texts(ids, [i.to_bytes(4, "little").hex().upper() for i in range(max(ranks.values()) + 1)]))
+
+def _whole(column: pa.ChunkedArray) -> pa.Array:
+    return pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
+
+
+def decode(
+    rows: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", out_col: str = "decoded", packed_col: str | None = None
+) -> DataFrame:
+    """All rows and columns, and the bytes of the token ids: the pieces one after the other.
+
+    NULL if an id is not in the vocabulary or NULL, or if there are no ids at all; the
+    name is made longer if a column has it. With ``packed_col`` a last column holds the ids as
+    unsigned 32-bit numbers, least byte first.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(_pieces(ranks))
+    names = [fresh_name(rows, out_col)] + ([fresh_name(rows, packed_col)] if packed_col else [])
+    row = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"))
+    place = rows.columns.index(ids_col)
+    schema = T.StructType([row.schema["row"], *[T.StructField(n, T.BinaryType()) for n in names]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array(shared.value, pa.binary())
+        for batch in slices(batches):
+            lists = batch.column(0).field(place)
+            columns = [_decoded(lists, known), *([_packed(lists)] if packed_col else [])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["row", *names])
+
+    return row.mapInArrow(run, schema).select("row.*", *names)

@@ -279,11 +279,10 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ranks = bytepairs.read_ranks(public_tokenizers.path(RANKS))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = bytepairs.encode(docs, ranks, public_tokenizers.PATTERN)
+    found = bytepairs.encode(docs, ranks, public_tokenizers.PATTERN, decoded_col="decoded", packed_col="packed")
     return found.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(bytepairs.little_endian(F.col("ids"), ranks), 256).alias("ids_sha256"),
-        F.sha2(bytepairs.decode(F.col("ids"), ranks), 256).alias("decoded_sha256"),
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2("packed", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 

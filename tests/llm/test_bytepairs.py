@@ -48,9 +48,13 @@ def test_heap_gives_the_ids_of_the_library(known, ranks):
 def test_ids_are_those_of_the_library(spark, known, ranks, most, block):
     said = NASTY + [(i, t, "s", 0, "h") for i, t in enumerate(odd_texts(), 10)]
     docs = spark.createDataFrame(said, DOCS).withColumnRenamed("hits", "IDS")
-    found = bytepairs.encode(docs, ranks, PATTERN, most=most, block_bytes=block)
-    assert found.columns == [*docs.columns, "ids_"]
-    decoded = found.withColumn("back", bytepairs.decode(F.col("ids_"), ranks))
+    made = bytepairs.encode(docs, ranks, PATTERN, most=most, block_bytes=block, decoded_col="d", packed_col="source")
+    assert made.columns == [*docs.columns, "ids_", "d", "source_"]
+    for r in made.collect():
+        assert bytes(r.d) == (r.text or "").encode() and bytes(r.source_) == np.array(r.ids_, "<u4").tobytes()
+    found = made.drop("d", "source_")
+    decoded = bytepairs.decode(found, ranks, "ids_", "back", "packed")
+    assert decoded.columns == [*found.columns, "back", "packed"]
     got = sorted(((*r[:5], list(r.ids_), bytes(r.back)) for r in decoded.collect()), key=str)
     expected = sorted(((*r, known.encode_ordinary(r[1] or ""), (r[1] or "").encode()) for r in said), key=str)
     assert got == expected
@@ -58,9 +62,9 @@ def test_ids_are_those_of_the_library(spark, known, ranks, most, block):
 
 
 def test_unknown_ids_decode_to_null(spark, ranks):
-    ids = spark.createDataFrame([([60_000],), ([300, 5],), ([],), (None,)], "ids array<int>")
-    back = [r.b for r in ids.select(bytepairs.decode(F.col("ids"), ranks).alias("b")).collect()]
-    assert back[0] is None and back[1] is not None and back[2] == b"" and back[3] is None
+    ids = spark.createDataFrame([([60_000],), ([300, 5],), ([],), (None,), ([-1],), ([None, 5],)], "ids array<int>")
+    back = [r.decoded for r in bytepairs.decode(ids, ranks).collect()]
+    assert [b is None for b in back] == [True, False, False, True, True, True] and back[2] == b""
     with pytest.raises(ValueError):
         bytepairs.encode(ids, {b"a": 0}, PATTERN)
 
@@ -74,3 +78,19 @@ def test_query(spark, sf_dir, known):
         ids = known.encode_ordinary(text)
         expected = hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert tuple(r) == (r.doc_id, len(ids), expected, hashlib.sha256(text.encode()).hexdigest())
+
+
+def test_words_of_every_character(spark):
+    """Java and the pattern's library cut the same words around each code point that Java knows."""
+    import regex
+
+    points = spark.range(0x110000).filter("id < 55296 or id >= 57344")
+    # Built from UTF-8 bytes, as Spark's own function for characters knows the first 256 only.
+    texts = points.select("id", F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "utf-32").alias("c"))
+    framed = texts.select("id", F.concat(F.lit("a"), "c", F.lit("1 "), "c", "c", F.lit("b  "), "c").alias("t"))
+    found = framed.select("id", "t", bytepairs.words_of(F.col("t"), PATTERN).alias("w")).filter("w is not null")
+    cut = regex.compile(PATTERN).findall
+    rows = found.toArrow()
+    assert rows.num_rows > 250_000
+    wrong = [i for i, t, w in zip(*(rows[c].to_pylist() for c in ("id", "t", "w"))) if cut(t) != w]
+    assert wrong == []
