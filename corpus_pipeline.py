@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from delayflow.llm import decontamination, packing, pseudonyms, rules, simhash
 from delayflow.workspace import materialize
 
+# Pieces in one sequence: a mask of that many blocks at most.
+SEQUENCE_DOCUMENTS = 16
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rule and every learned rule."""
@@ -29,8 +32,8 @@ def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of all documents with their places in sequences."""
-    return packing.best_fit(packing.token_pieces(docs))
+    """Token pieces of all documents with their places in sequences of a bounded number of documents."""
+    return packing.best_fit(packing.token_pieces(docs), documents=SEQUENCE_DOCUMENTS)
 
 
 STAGES = [
