@@ -80,7 +80,8 @@ def write_captures(
     """Write a request, a response or revisit, and a metadata record per page under ``path``.
 
     Of pages with equal payloads of at least ``min_bytes`` that with the least id is the
-    response, the others revisit it; rows that repeat the least id are responses too. Only
+    response, the others revisit it by its record id; rows that repeat the least id are responses
+    too, and what revisits them names no single one of them. Only
     the digests that occur more than once are shared or shuffled; the pages stay where they
     are unless that list is over the bound of a broadcast. Files are gzipped text made by
     Spark's own writer, so any file system works and a lost task is written again. NULL html
@@ -92,12 +93,13 @@ def write_captures(
         F.regexp_replace(F.col(f"`{url_col}`"), r"[\x00-\x20]", "%20").alias("url"),
         F.coalesce(F.col(f"`{html_col}`"), F.lit("")).alias("payload"),
     ).withColumn("digest", base32_sha1(F.col("payload")))
+    rows = own.filter(F.octet_length("payload") >= min_bytes).groupBy("digest", "number").agg(F.count("*").alias("n"))
+    least = F.min(F.when(F.col("number").isNotNull(), F.struct("number", "n")))
     repeated = (
-        own.filter(F.octet_length("payload") >= min_bytes)
-        .groupBy("digest")
-        .agg(F.min("number").alias("first"), F.count("*").alias("n"))
+        rows.groupBy("digest")
+        .agg(least.alias("least"), F.sum("n").alias("n"))
         .filter("n > 1")
-        .select("digest", "first")
+        .select("digest", F.col("least.number").alias("first"), (F.col("least.n") == 1).alias("single"))
     )
     joined = join_dimension(own, repeated, ["digest"], "left")
     revisit = (
@@ -105,12 +107,15 @@ def write_captures(
         & F.col("first").isNotNull()
         & ~F.col("number").eqNullSafe(F.col("first"))
     )
-    # The row number tells repeated ids apart; all records of a row are made together.
+    # The row number tells repeated ids apart; all records of a row are made together. A response
+    # that others refer to is named by its digest instead, which they know.
+    referred = F.col("single") & F.col("number").eqNullSafe(F.col("first"))
     base = F.concat(
         F.lit("<urn:x-page:"), F.coalesce("id", F.lit("")), F.lit("/"),
-        F.monotonically_increasing_id().cast("string"),
+        F.when(referred, F.col("digest")).otherwise(F.monotonically_increasing_id().cast("string")),
     )
     named = joined.withColumn("base", base).withColumn("revisit", revisit)
+    original = F.concat(F.lit("<urn:x-page:"), F.col("first").cast("string"), F.lit("/"), "digest", F.lit("/capture>"))
     capture = F.concat("base", F.lit("/capture>"))
     head = F.concat(
         F.lit(f"HTTP/1.1 200 OK{EOL}Content-Type: text/html; charset=utf-8{EOL}Content-Length: "),
@@ -138,7 +143,7 @@ def write_captures(
             ("WARC-Profile", F.when(F.col("revisit"), REVISIT)),
             (
                 "WARC-Refers-To",
-                F.when(F.col("revisit"), F.concat(F.lit("<urn:x-page:"), F.col("first").cast("string"), F.lit(">"))),
+                F.when(F.col("revisit"), original),
             ),
             ("Content-Type", F.lit("application/http; msgtype=response")),
         ],

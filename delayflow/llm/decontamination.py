@@ -67,10 +67,18 @@ class WindowSet:
         self.ids = np.array(flat, np.uint64)
         self.windows = {}
         for length, found in by_length.items():
-            starts, owners = np.array(found, np.int64).T
+            # Equal windows are one, with all items that have them; a hash may stand for several.
+            owners: dict[bytes, set[int]] = {}
+            first: dict[bytes, int] = {}
+            for start, owner in found:
+                words = self.ids[start : start + length].tobytes()
+                owners.setdefault(words, set()).add(owner)
+                first.setdefault(words, start)
+            starts = np.fromiter(first.values(), np.int64, len(first))
             hashes = rolling(self.ids, length)[starts]
             order = np.argsort(hashes, kind="stable")
-            self.windows[length] = hashes[order], starts[order], owners[order]
+            held = list(owners.values())
+            self.windows[length] = hashes[order], starts[order], [held[i] for i in order.tolist()]
 
     def hits(self, words: list[bytes]) -> tuple[list[list[int]], list[str]]:
         """Spans of words inside an occurrence of a window, and the items hit."""
@@ -82,17 +90,20 @@ class WindowSet:
             rolled = rolling(ids, length)
             low = np.searchsorted(hashes, rolled)
             inside = np.flatnonzero(low < len(hashes))
+            met: set[int] = set()
             for at in inside[hashes[low[inside]] == rolled[inside]].tolist():
-                place, hit = int(low[at]), False
+                place = int(low[at])
+                # Different windows of one hash are next to each other; only one can be equal.
                 while place < len(hashes) and hashes[place] == rolled[at]:
                     begin = int(starts[place])
                     if (self.ids[begin : begin + length] == ids[at : at + length]).all():
-                        items.add(int(owners[place]))
-                        hit = True
+                        edges[at] += 1
+                        edges[at + length] -= 1
+                        if place not in met:
+                            met.add(place)
+                            items |= owners[place]
+                        break
                     place += 1
-                if hit:
-                    edges[at] += 1
-                    edges[at + length] -= 1
         covered = np.cumsum(edges[:-1]) > 0
         changes = np.flatnonzero(np.diff(covered, prepend=False, append=False))
         return changes.reshape(-1, 2).tolist(), [self.names[i] for i in sorted(items)]

@@ -145,8 +145,9 @@ def fit_ordinal(
         .limit(rows)
     )
     texts = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
-    # At most ``rows`` ids are copied to the executors.
-    chosen = texts.join(F.broadcast(ids), "_id").select("_grade", "_text")
+    # At most ``rows`` ids are copied to the executors; of rows with one id the least text counts.
+    rated = texts.join(F.broadcast(ids), "_id")
+    chosen = rated.groupBy("_id").agg(F.min("_grade").alias("_grade"), F.min("_text").alias("_text")).drop("_id")
     hashed = T.StructType(
         [T.StructField("grade", T.IntegerType()), T.StructField("at", T.ArrayType(T.IntegerType()))]
     )

@@ -25,9 +25,12 @@ ALPHABETS = [
 HEX = ["0123456789abcdef"]
 HEX_UPPER = ["0123456789ABCDEF"]
 
-# Formats, in the order in which they are tried at a place.
+# Formats, in the order in which they are tried at a place. A run of the characters
+# of an address is tried once, from its beginning or from where the last match ended, and parts that can
+# only be read one way are possessive, so that time and depth stay bounded on any text. A
+# domain has at most 127 labels.
 PATTERNS = {
-    "email": r"[\p{L}\p{N}._%+\-]+@[A-Za-z0-9](?:[A-Za-z0-9\-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9\-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,}",
+    "email": r"(?:(?<![\p{L}\p{N}._%+\-])|\G)[\p{L}\p{N}._%+\-]++@[A-Za-z0-9]++(?:-++[A-Za-z0-9]++)*+(?:\.[A-Za-z0-9]++(?:-++[A-Za-z0-9]++)*+){0,126}\.[A-Za-z]{2,}",
     "secret": r"(?<=(?i:token|secret|key|password|passwd)['\x22]?\x20{0,2}[=:]\x20{0,2}['\x22]?)(?:[0-9a-f]{16,128}|[0-9A-F]{16,128})(?![0-9A-Za-z])",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?![\w]|\.[0-9])",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
@@ -323,10 +326,10 @@ def _pattern(ibans: Column, cards: Column) -> Column:
     parts = []
     for name, pattern in PATTERNS.items():
         if name == "iban":
-            one = F.concat(F.lit(r"|(?<![\p{L}\p{N}])(?:"), F.array_join(ibans, "|"), F.lit(r")(?![\p{L}\p{N}])"))
+            one = F.concat(F.lit(r"|(?<![\p{L}\p{N}])(?=[A-Z]{2}[0-9])(?:"), F.array_join(ibans, "|"), F.lit(r")(?![\p{L}\p{N}])"))
             parts.append(F.when(F.size(ibans) > 0, one).otherwise(""))
         elif name == "card":
-            one = F.concat(F.lit(r"|(?<![\w.])(?:"), F.array_join(cards, "|"), F.lit(r")(?!\w)"))
+            one = F.concat(F.lit(r"|(?<![\w.])(?=[0-9])(?:"), F.array_join(cards, "|"), F.lit(r")(?!\w)"))
             parts.append(F.when(F.size(cards) > 0, one).otherwise(""))
         else:
             parts.append(F.lit(("|" if parts else "") + f"(?:{pattern})"))

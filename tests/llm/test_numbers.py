@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import random
 import re
 
+from pyspark.sql import functions as F
+
 from delayflow.llm import pseudonyms
 from tests.llm.test_table_operators import KEY, PYTHON_NODES, iban_ok, luhn, plan
 
@@ -43,3 +46,36 @@ def test_neighbours_do_not_hide_numbers(spark):
         # A valid number may stand in a long run by chance; all that is asked for there is an end.
         assert found[name].text == text or name == "many", name
     assert len(found["many"].text) == len(many)
+
+
+def test_long_runs_end(spark):
+    rng = random.Random(1)
+    cards = []
+    while len(cards) < 1_000:
+        number = f"4{rng.randrange(10**14):014d}"
+        cards.append(next(number + str(d) for d in range(10) if luhn(number + str(d))))
+    texts = {
+        "labels": "x1@" + "a." * 20_000 + "1", "letters": "a" * 1_000_000, "dots": "." * 300_000, "ats": "a@" * 50_000,
+        "hyphens": "x@" + "a-" * 50_000, "digits": "1" * 300_000, "capitals": "AB12" * 50_000,
+    }
+    same = spark.createDataFrame(list(texts.items()), "doc_id string, text string")
+    found = {r.doc_id: r.text for r in pseudonyms.pseudonymise(same, key=KEY).collect()}
+    assert found == texts
+    numbers = spark.createDataFrame([("cards", " x ".join(cards))], "doc_id string, text string")
+    row = pseudonyms.pseudonymise(numbers, key=KEY, found_col="kinds").first()
+    new = row.text.split(" x ")
+    assert row.kinds == ["card"] * 1_000 and all(map(luhn, new)) and sum(a == b for a, b in zip(new, cards)) < 5
+
+
+def test_addresses(spark):
+    cases = {
+        "a@b.com": ["a@b.com"], "x@y.co.uk, z": ["x@y.co.uk"], "a@b.com.x@y.org": ["a@b.com", ".x@y.org"], "a@b": [], "@b.com": [],
+        "é.ü+1@mail-1.example": ["é.ü+1@mail-1.example"], "x@10.0.0.1": ["10.0.0.1"], "a@b.com1": ["a@b.com"], "a@-b.com": [], "a@b-.com": [],
+        "n@" + "l." * 126 + "org": ["n@" + "l." * 126 + "org"], "l" * 90 + "@b.org": ["l" * 90 + "@b.org"],
+    }
+    frame = spark.createDataFrame([(t,) for t in cases], "text string")
+    kept = pseudonyms.pseudonymise(frame.withColumn("old", F.col("text")), key=KEY, found_col="kinds").collect()
+    assert {r.old: len(r.kinds) for r in kept} == {t: len(v) for t, v in cases.items()}
+    for r in kept:
+        assert len(r.text) == len(r.old) or r.kinds == ["ip"]
+        assert (r.text == r.old) == (not r.kinds)

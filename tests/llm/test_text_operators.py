@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import random
+import time
 import zlib
 
 import numpy as np
@@ -224,6 +225,24 @@ def test_near_odd_rows(spark, nasty):
     assert simhash.one_of_each(nasty.limit(0)).count() == 0
 
 
+def test_one_repeated_word_is_hit_in_linear_time():
+    words = decontamination.fold_words("same " * 20_000)
+    windows = decontamination.WindowSet([("a", "same " * 20_000), ("b", "Same " * 12), ("c", "same " * 9)], 10)
+    started = time.process_time()
+    assert windows.hits(words) == ([[0, 20_000]], ["a", "b", "c"])
+    assert windows.hits(words[:9]) == ([[0, 9]], ["c"])
+    assert time.process_time() - started < 5
+
+
+def test_rated_rows_count_once_per_id(spark):
+    rows = [(i, f"word{i % 3} good text number {i}") for i in range(30)]
+    ratings = spark.createDataFrame([(i, i % 3) for i in range(30)], "doc_id long, g int")
+    once = spark.createDataFrame(rows, "doc_id long, text string")
+    many = once.unionByName(spark.createDataFrame([(7, "word1 good text number 7")] * 200 + [(7, "zzz")], "doc_id long, text string"))
+    fitted = [ordinal.fit_ordinal(docs, ratings, F.col("g"), 3) for docs in (once, many)]
+    assert (fitted[0].weights == fitted[1].weights).all() and (fitted[0].thresholds == fitted[1].thresholds).all()
+
+
 def test_repeated_ids_lose_no_group(spark):
     rng = random.Random(2)
     prose = [" ".join(f"w{rng.randrange(9_999)}" for _ in range(80)) for _ in range(4)]
