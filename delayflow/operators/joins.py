@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delayflow.functions.values import default_if_missing
-from delayflow.workspace import materialize, measured_bytes
+from delayflow.workspace import materialize, measured_bytes, new_path
 
 # Largest dimension that is copied to every executor.
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -28,8 +28,9 @@ def join_dimension(
     the key; as the stored dimension is a plain scan, adaptive execution can split
     the partitions of hot keys on the facts side.
     """
-    stored = materialize(dim, "dimension")
-    if measured_bytes(stored) <= broadcast_bytes:
+    path = new_path(dim.sparkSession, "dimension")
+    stored = materialize(dim, "dimension", path)
+    if measured_bytes(stored, path) <= broadcast_bytes:
         stored = F.broadcast(stored)
     return facts.join(stored, list(on), how)
 
@@ -76,14 +77,16 @@ def first_responses(responses: DataFrame, moment: str = "Timestamp") -> DataFram
     return keyed.agg(F.min(F.struct(*rest)).alias("first")).select("UUID", "first.*")
 
 
-def correlate_request_response(requests: DataFrame, responses: DataFrame) -> DataFrame:
+def correlate_request_response(
+    requests: DataFrame, responses: DataFrame, moment: str = "Timestamp"
+) -> DataFrame:
     """Each request with its response and a status, WAIT where none has come.
 
     Responses are reduced to one per UUID and stored, so the join reads two plain
     scans and adaptive execution can split a partition swollen by one UUID, or by
     requests without any.
     """
-    answers = materialize(first_responses(responses).withColumn("status", F.lit("OK")), "responses")
+    answers = materialize(first_responses(responses, moment).withColumn("status", F.lit("OK")), "responses")
     joined = requests.join(answers, "UUID", "left")
     return joined.withColumn("status", F.coalesce("status", F.lit("WAIT")))
 

@@ -36,6 +36,7 @@ from delayflow.sources.readers import (
 from delayflow.sources.writers import append_results, write_json_single, write_json_text
 from delayflow.streaming.sinks import BatchWriter, stream_fanout
 from delayflow.streaming.sources import stream_source_requests, with_rate_limit
+from delayflow.streaming.supervision import Sink, start_sinks
 from delayflow.streaming.transforms import stream_parse_requests, stream_score
 from delayflow.workspace import materialize
 
@@ -162,6 +163,23 @@ def job_stream_predict(
     return stream_fanout(scored, writers, checkpoint, trigger, rejects, required)
 
 
+def job_stream_predict_sinks(
+    spark: SparkSession,
+    source: tuple[str, Mapping[str, str | int]],
+    sinks: Mapping[str, Sink],
+    model: PipelineModel,
+    checkpoint: str,
+) -> dict[str, StreamingQuery]:
+    """Requests from a stream, scored and written by one query per sink.
+
+    A slow sink holds no other up and each goes on from its own place after a restart; in return
+    the source is read and scored once per sink. Hand the queries to ``supervise``.
+    """
+    fmt, options = source
+    messages = stream_source_requests(spark, fmt, with_rate_limit(fmt, options))
+    return start_sinks(stream_score(model, stream_parse_requests(messages)), sinks, checkpoint)
+
+
 def batch_results_report(df: DataFrame, day: str) -> DataFrame:
     """A day's predictions with the text of the predicted delay."""
     shown = decode_label_minutes(F.col("Prediction")).alias("Predicted")

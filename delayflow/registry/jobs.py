@@ -15,7 +15,8 @@ from delayflow.sources.readers import scan_json_schema
 from delayflow.sources.writers import insert_prediction_task, lakehouse_create_or_replace
 from delayflow.streaming import sinks as K
 from delayflow.streaming import transforms as X
-from delayflow.workspace import new_path
+from delayflow.streaming import upserts as U
+from delayflow.workspace import materialize, new_path
 
 DAY = "2024-01-15"
 _IN_DAY = f"\"Timestamp\" >= '{DAY}' AND \"Timestamp\" <= '2024-01-16'"
@@ -23,7 +24,11 @@ _IN_DAY = f"\"Timestamp\" >= '{DAY}' AND \"Timestamp\" <= '2024-01-16'"
 
 @query("repartition_cache", "SELECT * FROM flights")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return B.repartition_cache(flights(spark, sf_dir))
+    cached = B.repartition_cache(flights(spark, sf_dir))
+    try:
+        return materialize(cached, "cached")
+    finally:
+        cached.unpersist()
 
 
 @query("job_extract", "SELECT * FROM features")
@@ -89,7 +94,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "job")
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        write = K.keyed_writer(f"{path}/store", "uuid", ["timestamp"])
+        write = U.upsert_writer(f"{path}/store", "uuid", ["timestamp"], buckets=8)
         write(K.stored_prediction(batch), batch_id)
 
     running = B.job_stream_predict(
@@ -101,7 +106,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
         K.DRAIN,
     )
     finish(running)
-    predictions = K.read_keyed(spark, f"{path}/store", "uuid", "timestamp")
+    predictions = U.read_upserts(spark, f"{path}/store")
     batch = X.stream_score(trained(spark, sf_dir), enriched(spark, sf_dir)).select(
         F.col("UUID").alias("uuid"), F.col("Prediction").alias("expected")
     )

@@ -15,6 +15,8 @@ from delayflow.session import state_session
 from delayflow.streaming import sinks as K
 from delayflow.streaming import sources as S
 from delayflow.streaming import transforms as X
+from delayflow.streaming import upserts as U
+from delayflow.streaming.supervision import start_sinks, supervise
 from delayflow.workspace import new_path
 
 _lines: dict[tuple[str, str], str] = {}
@@ -58,12 +60,16 @@ _STORED = """SELECT UUID AS uuid, Origin AS origin, Dest AS dest,
     CAST(CAST(UUID AS BIGINT) % 4 AS INT) AS prediction FROM requests"""
 
 
-def _drained(df: DataFrame, name: str) -> DataFrame:
+def _stored_stream(df: DataFrame, name: str) -> DataFrame:
     """Run a stream to Parquet files and read them."""
     spark = df.sparkSession
     path = new_path(spark, name)
     finish(K.stream_append_mode(df, path, f"{path}-checkpoint", "parquet", K.DRAIN))
-    return comparable(spark.read.schema(df.schema).parquet(path))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _drained(df: DataFrame, name: str) -> DataFrame:
+    return comparable(_stored_stream(df, name))
 
 
 def _read_values(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
@@ -111,8 +117,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = answered(spark, sf_dir)
     # The whole input is written by two queries: the later one overwrites every key.
     for run in ("first", "second"):
-        finish(K.stream_sink_keyed_upsert(rows, path, f"{path}-checkpoint-{run}", K.DRAIN))
-    return K.read_keyed(spark, path, "uuid", "timestamp").drop("timestamp")
+        finish(U.stream_sink_keyed_upsert(rows, path, f"{path}-checkpoint-{run}", K.DRAIN, buckets=8))
+    return U.read_upserts(spark, path).drop("timestamp")
 
 
 @query(
@@ -124,12 +130,12 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "latest")
-    rows = parsed(spark, sf_dir).select("Carrier", "Timestamp", "Origin", "Dest", "FlightNum")
-    running = K.stream_upsert_latest(
-        rows, path, "Carrier", ["Timestamp"], f"{path}-checkpoint", K.DRAIN
-    )
-    finish(running)
-    return comparable(K.read_keyed(spark, path, "Carrier", "Timestamp"))
+    # Few files a batch, so that later batches meet what earlier ones have written.
+    source = S.stream_earliest(spark, request_lines(spark, sf_dir), max_files_per_trigger=2)
+    rows = X.stream_parse_requests(source).select("Carrier", "Timestamp", "Origin", "Dest", "FlightNum")
+    order = ["Timestamp", "Origin", "Dest", "FlightNum"]
+    finish(U.stream_upsert_latest(rows, path, "Carrier", order, f"{path}-checkpoint", K.DRAIN, buckets=4))
+    return comparable(U.read_upserts(spark, path))
 
 
 @query("stream_sink_debug", _ANSWERED)
@@ -189,13 +195,13 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = answered(spark, sf_dir)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        write = K.keyed_writer(f"{path}/store", "uuid", ["timestamp"])
+        write = U.upsert_writer(f"{path}/store", "uuid", ["timestamp"], buckets=8)
         write(K.stored_prediction(batch), batch_id)
 
     writers = [K.response_writer(f"{path}/response"), store, K.debug_writer()]
     finish(K.stream_fanout(rows, writers, f"{path}-checkpoint", K.DRAIN))
     responses = _read_values(spark, f"{path}/response", rows)
-    predictions = K.read_keyed(spark, f"{path}/store", "uuid", "timestamp")
+    predictions = U.read_upserts(spark, f"{path}/store")
     return responses.select(F.lit("response").alias("sink"), F.col("UUID").alias("uuid"), "Prediction").unionByName(
         predictions.select(F.lit("store").alias("sink"), "uuid", F.col("prediction").cast("double").alias("Prediction"))
     )
@@ -223,17 +229,22 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _timed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Responses to all requests but errors, up to five minutes later."""
+    """Responses to all requests but errors: a right one up to five minutes later, and strays
+    before the request, after the right one, and after the bound.
+    """
 
     def build() -> DataFrame:
         requests = view(spark, sf_dir, "requests").filter("event_type <> 'error'")
         number = F.col("UUID").cast("long")
-        sent = F.col("Timestamp").cast("timestamp")
-        return requests.select(
-            "UUID",
-            F.timestamp_seconds(F.unix_seconds(sent) + number % 300).alias("Timestamp"),
-            (number % 4).cast("double").alias("Prediction"),
-        )
+        sent = F.unix_seconds(F.col("Timestamp").cast("timestamp"))
+        late = F.struct((sent + number % 300).alias("at"), (number % 4).cast("double").alias("Prediction"))
+        strays = [
+            F.when(number % 5 == 1, F.struct((sent - 30).alias("at"), F.lit(-1.0).alias("Prediction"))),
+            F.when(number % 7 == 2, F.struct((sent + 400).alias("at"), F.lit(-2.0).alias("Prediction"))),
+            F.when(number % 3 == 0, F.struct((sent + 700).alias("at"), F.lit(-3.0).alias("Prediction"))),
+        ]
+        said = requests.select("UUID", F.explode(F.array(late, *strays)).alias("s")).filter("s IS NOT NULL")
+        return said.select("UUID", F.timestamp_seconds("s.at").alias("Timestamp"), "s.Prediction")
 
     return stored(spark, sf_dir, "timed-responses", build)
 
@@ -254,9 +265,29 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     request_lines(spark, sf_dir)
     session = state_session(spark)
     arriving = session.readStream.schema(responses.schema).parquet(path)
-    pairs = X.stream_correlate(parsed(session, sf_dir), arriving)
-    names = ["UUID", "Timestamp", "Prediction", "status"]
-    given_out = _drained(pairs.select(*names), "correlated")
+    given_out = _stored_stream(X.stream_correlate(parsed(session, sf_dir), arriving), "correlated")
     asked = X.stream_parse_requests(spark.read.text(request_lines(spark, sf_dir)))
     rest = X.close_correlation(asked, responses, given_out)
-    return given_out.unionByName(comparable(rest.select(*names)))
+    names = ["UUID", "Timestamp", "Prediction", "status"]
+    return comparable(given_out.select(*names).unionByName(rest.select(*names)))
+
+
+@query(
+    "supervised_sinks",
+    f"""SELECT 'response' AS sink, UUID AS uuid, {_CLASS} FROM requests
+    UNION ALL SELECT 'store' AS sink, UUID AS uuid, {_CLASS} FROM requests""",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "sinks")
+    rows = answered(spark, sf_dir)
+    sinks = {
+        "response": lambda df, checkpoint: K.stream_sink_response(df, "text", {"path": f"{path}/response"}, checkpoint, K.DRAIN),
+        "store": lambda df, checkpoint: U.stream_sink_keyed_upsert(df, f"{path}/store", checkpoint, K.DRAIN, buckets=8),
+        "debug": lambda df, checkpoint: K.stream_sink_debug(df, checkpoint, "noop", K.DRAIN),
+    }
+    supervise(start_sinks(rows, sinks, f"{path}/checkpoints"))
+    responses = _read_values(spark, f"{path}/response", rows)
+    predictions = U.read_upserts(spark, f"{path}/store")
+    return responses.select(F.lit("response").alias("sink"), F.col("UUID").alias("uuid"), "Prediction").unionByName(
+        predictions.select(F.lit("store").alias("sink"), "uuid", F.col("prediction").cast("double").alias("Prediction"))
+    )

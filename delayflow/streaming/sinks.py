@@ -28,23 +28,28 @@ DRAIN = {"availableNow": True}
 log = logging.getLogger(__name__)
 
 
-def _start(writer, checkpoint: str, trigger: Mapping | None) -> StreamingQuery:
+def start(writer, checkpoint: str, trigger: Mapping | None) -> StreamingQuery:
     writer = writer.outputMode("append").option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
+def batch_writer_id(batch: DataFrame) -> str:
+    """The id of the query that runs a micro-batch.
+
+    It is kept in the checkpoint: a restart has the same, a new query another.
+    """
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def _batch_folder(batch: DataFrame, batch_id: int, path: str) -> str:
-    # The query id is kept in the checkpoint: a restart has the same, a new query another.
-    context = batch.sparkSession.sparkContext
-    query_id = context.getLocalProperty("sql.streaming.queryId")
-    return f"{path}/writer={query_id}/batch_id={batch_id}"
+    return f"{path}/writer={batch_writer_id(batch)}/batch_id={batch_id}"
 
 
 def stream_append_mode(
     df: DataFrame, path: str, checkpoint: str, fmt: str = "json", trigger: Mapping | None = None
 ) -> StreamingQuery:
     """Append each row once to files at ``path``."""
-    return _start(df.writeStream.format(fmt).option("path", path), checkpoint, trigger)
+    return start(df.writeStream.format(fmt).option("path", path), checkpoint, trigger)
 
 
 def stream_checkpoint_resume(
@@ -58,7 +63,7 @@ def stream_microbatch_10s(
     df: DataFrame, writer: BatchWriter, checkpoint: str, interval: str = MICROBATCH_INTERVAL
 ) -> StreamingQuery:
     """Hand a batch to ``writer`` every ten seconds."""
-    return _start(df.writeStream.foreachBatch(writer), checkpoint, {"processingTime": interval})
+    return start(df.writeStream.foreachBatch(writer), checkpoint, {"processingTime": interval})
 
 
 def stream_sink_response(
@@ -70,7 +75,7 @@ def stream_sink_response(
 ) -> StreamingQuery:
     """Rows as JSON ``value`` to a response topic (``kafka``) or folder (``text``)."""
     writer = to_json_record(df).writeStream.format(fmt).options(**options)
-    return _start(writer, checkpoint, trigger)
+    return start(writer, checkpoint, trigger)
 
 
 def stream_sink_debug(
@@ -85,7 +90,7 @@ def stream_sink_debug(
     ``noop`` only runs and counts it; a format of files, with a ``path`` among its
     ``options``, shows every row.
     """
-    return _start(df.writeStream.format(fmt).options(**(options or {})), checkpoint, trigger)
+    return start(df.writeStream.format(fmt).options(**(options or {})), checkpoint, trigger)
 
 
 def response_writer(path: str) -> BatchWriter:
@@ -125,39 +130,6 @@ def latest_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     return newest.select(*[F.col(key) if c == key else F.col(f"newest.{c}") for c in df.columns])
 
 
-def keyed_writer(path: str, key: str, order: Sequence[str]) -> BatchWriter:
-    """Changes of each micro-batch, one row per key, added to a keyed store.
-
-    A batch costs only its own rows; ``read_keyed`` settles which batch wins. Rows without
-    a key cannot be told apart in the store: all of them go to a table beside it, whose
-    path ends in ``-unkeyed``.
-    """
-    beside = f"{path.rstrip('/')}-unkeyed"
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        keyed = latest_per_key(batch.filter(F.col(key).isNotNull()), key, order)
-        keyed.write.mode("overwrite").parquet(_batch_folder(batch, batch_id, path))
-        unkeyed = batch.filter(F.col(key).isNull())
-        unkeyed.write.mode("overwrite").parquet(_batch_folder(batch, batch_id, beside))
-        batch.unpersist()
-
-    return write
-
-
-def read_keyed(spark: SparkSession, path: str, key: str, stamp: str) -> DataFrame:
-    """A keyed store as a table: the last write of each key."""
-    changes = spark.read.parquet(path)
-    latest = latest_per_key(changes, key, [stamp, "batch_id", "writer"])
-    return latest.drop("writer", "batch_id")
-
-
-def snapshot_keyed(spark: SparkSession, path: str, key: str, stamp: str, target: str) -> None:
-    """Write the last state of a keyed store as the first batch of a new one."""
-    state = read_keyed(spark, path, key, stamp)
-    state.write.mode("overwrite").parquet(f"{target}/writer=snapshot/batch_id=0")
-
-
 def stored_prediction(df: DataFrame) -> DataFrame:
     """Columns of the prediction store: whole-number class and processing time."""
     return df.select(
@@ -169,27 +141,6 @@ def stored_prediction(df: DataFrame) -> DataFrame:
     )
 
 
-def stream_upsert_latest(
-    df: DataFrame,
-    path: str,
-    key: str,
-    order: Sequence[str],
-    checkpoint: str,
-    trigger: Mapping | None = None,
-) -> StreamingQuery:
-    """Last write per key wins, within a micro-batch by ``order``, between them by time."""
-    return _start(df.writeStream.foreachBatch(keyed_writer(path, key, order)), checkpoint, trigger)
-
-
-def stream_sink_keyed_upsert(
-    df: DataFrame, path: str, checkpoint: str, trigger: Mapping | None = None
-) -> StreamingQuery:
-    """Predictions to the store keyed by uuid; read it with ``read_keyed``."""
-    return stream_upsert_latest(
-        stored_prediction(df), path, "uuid", ["timestamp"], checkpoint, trigger
-    )
-
-
 def stream_skip_empty_batch(
     df: DataFrame, writer: BatchWriter, checkpoint: str, trigger: Mapping | None = None
 ) -> StreamingQuery:
@@ -197,11 +148,13 @@ def stream_skip_empty_batch(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()  # the look at the batch and the write compute it once
-        if not batch.isEmpty():
-            writer(batch, batch_id)
-        batch.unpersist()
+        try:
+            if not batch.isEmpty():
+                writer(batch, batch_id)
+        finally:
+            batch.unpersist()
 
-    return _start(df.writeStream.foreachBatch(write), checkpoint, trigger)
+    return start(df.writeStream.foreachBatch(write), checkpoint, trigger)
 
 
 def stream_fanout(
@@ -229,4 +182,4 @@ def stream_fanout(
         finally:
             batch.unpersist()
 
-    return _start(df.writeStream.foreachBatch(write), checkpoint, trigger)
+    return start(df.writeStream.foreachBatch(write), checkpoint, trigger)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delayflow.functions.text import parse_json, value_to_string
@@ -12,6 +12,7 @@ from delayflow.operators.joins import BROADCAST_BYTES, enrich_distance
 from delayflow.operators.learning import predict
 from delayflow.operators.projection import flatten_struct
 from delayflow.schemas import STREAM_REQUEST_FIELDS, STREAM_REQUEST_SCHEMA
+from delayflow.workspace import materialize
 
 
 def stream_parse_requests(df: DataFrame) -> DataFrame:
@@ -34,6 +35,34 @@ def stream_enrich_distance(
     return joined.withColumn("Distance", F.col("Distance").cast("double"))
 
 
+def _answers(responses: DataFrame, moment: str) -> DataFrame:
+    """Responses with an id and a time, their other columns in one, so that no name clashes."""
+    rest = [F.col(c) for c in responses.columns if c not in ("UUID", moment)]
+    return responses.filter(F.col("UUID").isNotNull() & F.col(moment).isNotNull()).select(
+        F.col("UUID").alias("_answer_to"), F.col(moment).alias("_answered_at"),
+        F.struct(*rest, F.lit("OK").alias("status")).alias("_answer"),
+    )
+
+
+def _in_bound(moment: str, bound: str) -> Column:
+    asked = F.col(moment)
+    answered = F.col("_answered_at")
+    return (F.col("UUID") == F.col("_answer_to")) & answered.between(asked, asked + F.expr(f"INTERVAL {bound}"))
+
+
+def _told(df: DataFrame, requests: DataFrame, responses: DataFrame, moment: str) -> DataFrame:
+    """Columns of a request, then those of its first answer, and the status."""
+    rest = [c for c in responses.columns if c not in ("UUID", moment)]
+    status = F.coalesce(F.col("_first._answer.status"), F.lit("WAIT")).alias("status")
+    return df.select(*requests.columns, *[F.col(f"_first._answer.{c}").alias(c) for c in rest], status)
+
+
+def _first_answer() -> Column:
+    """The answer of least time; answers of one time are ordered by their other columns."""
+    answer = F.when(F.col("_answer_to").isNotNull(), F.struct("_answered_at", "_answer"))
+    return F.min(answer).alias("_first")
+
+
 def close_correlation(
     requests: DataFrame,
     responses: DataFrame,
@@ -45,22 +74,18 @@ def close_correlation(
 
     Those are the ones that came later than the watermark allows, and those still held when
     the stream was stopped. Each is given out with its first response within ``bound``, or as
-    WAIT; together with ``given_out`` every request with an id and a time is there once.
+    WAIT; together with ``given_out``, which has all columns of the requests, every request with an
+    id and a time is there as often as it was asked.
     """
-    pairable = F.col("UUID").isNotNull() & F.col(moment).isNotNull()
-    left = requests.filter(pairable).join(given_out.select("UUID", moment), ["UUID", moment], "left_anti")
-    answers = responses.filter(pairable).withColumnsRenamed({"UUID": "_answer_to", moment: "_answered_at"})
-    in_time = F.col("_answered_at").between(F.col(moment), F.col(moment) + F.expr(f"INTERVAL {bound}"))
+    pairable = requests.filter(F.col("UUID").isNotNull() & F.col(moment).isNotNull())
+    left = materialize(pairable.exceptAll(given_out.select(*requests.columns)), "open")
     asked = left.select("UUID", moment).distinct()
-    rest = [c for c in answers.columns if c not in ("_answer_to", "_answered_at")]
     first = (
-        asked.join(answers, (F.col("UUID") == F.col("_answer_to")) & in_time)
+        asked.join(_answers(responses, moment), _in_bound(moment, bound))
         .groupBy("UUID", moment)
-        .agg(F.min(F.struct("_answered_at", *rest)).alias("_first"))
-        .select("UUID", moment, *[F.col(f"_first.{c}").alias(c) for c in rest], F.lit("OK").alias("status"))
+        .agg(_first_answer())
     )
-    settled = left.join(first, ["UUID", moment], "left")
-    return settled.withColumn("status", F.coalesce("status", F.lit("WAIT")))
+    return _told(left.join(first, ["UUID", moment], "left"), requests, responses, moment)
 
 
 def stream_correlate(
@@ -72,22 +97,18 @@ def stream_correlate(
 ) -> DataFrame:
     """Each request with the first response that came within ``bound`` of it.
 
-    A request is held until the watermark shows that no response can come any more,
-    and then given out as WAIT; that is what bounds the state. Requests without id or
-    time can have no response: they are given out at once and kept out of the state,
-    where they would pile up under one key.
+    Two stateful steps: an interval join keeps requests and responses until the watermark has
+    passed the bound, and a minimum per request is closed when no response can come any more. A response
+    before its request, or after the bound, neither counts nor hides another. A request without
+    response is given out as WAIT; equal requests are told apart by a random number and come out
+    as often as they were asked. Requests without id or time can have no response: they are
+    given out at once and kept out of the state, where they would pile up under one key.
     """
     pairable = F.col("UUID").isNotNull() & F.col(moment).isNotNull()
-    answers = (
-        responses.filter(pairable)
-        .withWatermark(moment, watermark)
-        .dropDuplicatesWithinWatermark(["UUID"])
-        .withColumnsRenamed({"UUID": "_answer_to", moment: "_answered_at"})
-    )
-    pending = requests.filter(pairable).withWatermark(moment, watermark)
-    in_time = F.col("_answered_at").between(F.col(moment), F.col(moment) + F.expr(f"INTERVAL {bound}"))
-    joined = pending.join(answers, (F.col("UUID") == F.col("_answer_to")) & in_time, "left_outer")
-    status = F.when(F.col("_answer_to").isNotNull(), "OK").otherwise("WAIT")
-    paired = joined.withColumn("status", status).drop("_answer_to", "_answered_at")
+    # A batch that fails is taken again from its source, with the state as it was before.
+    pending = requests.filter(pairable).withColumn("_asked", F.expr("uuid()")).withWatermark(moment, watermark)
+    answers = _answers(responses.withWatermark(moment, watermark), moment)
+    joined = pending.join(answers, _in_bound(moment, bound), "left_outer")
+    first = joined.groupBy("_asked", *requests.columns).agg(_first_answer())
     alone = requests.filter(~pairable).withColumn("status", F.lit("WAIT"))
-    return paired.unionByName(alone, allowMissingColumns=True)
+    return _told(first, requests, responses, moment).unionByName(alone, allowMissingColumns=True)

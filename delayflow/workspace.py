@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -48,8 +47,7 @@ def clear(spark: SparkSession) -> None:
 
 def discard(spark: SparkSession, path: str) -> None:
     """Delete one intermediate table."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    place, files = _at(spark, path)
     files.delete(place, True)
 
 
@@ -66,7 +64,35 @@ def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of all rows as text, from one aggregate over the whole frame."""
-    size = F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("long"))
-    return df.agg(F.coalesce(size, F.lit(0)).alias("bytes")).first()["bytes"]
+def _at(spark: SparkSession, path: str):
+    """A path and the file system it is on."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place, files = _at(spark, path)
+    return files.exists(place)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, in order; none if it is absent."""
+    place, files = _at(spark, path)
+    if not files.exists(place):
+        return []
+    return sorted(f.getPath().getName() for f in files.listStatus(place) if f.isDirectory())
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files of a stored table."""
+    place, files = _at(spark, path)
+    return files.getContentSummary(place).getLength()
+
+
+def measured_bytes(stored: DataFrame, path: str) -> int:
+    """Size of a stored table: that of its files, or of its rows at their usual width if that is more.
+
+    Files are compressed, equal values most of all; the rows are counted from their footers.
+    """
+    width = stored._jdf.schema().defaultSize()
+    return max(stored_bytes(stored.sparkSession, path), stored.count() * width)

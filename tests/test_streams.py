@@ -12,6 +12,7 @@ from delayflow.registry.streams import finish
 from delayflow.streaming import sinks as K
 from delayflow.streaming import sources as S
 from delayflow.streaming import transforms as X
+from delayflow.streaming import upserts as U
 from tests.conftest import rows
 
 
@@ -110,13 +111,11 @@ def test_upsert_keeps_the_last_write(topic):
     for prediction in (1.0, 3.0):
         topic.send(request("1"), request("2" if prediction == 1.0 else "3"))
         rows_in = with_class(topic.requests(), prediction)
-        finish(K.stream_sink_keyed_upsert(rows_in, out, topic.path("c"), K.DRAIN))
-    state = K.read_keyed(topic.spark, out, "uuid", "timestamp")
+        finish(U.stream_sink_keyed_upsert(rows_in, out, topic.path("c"), K.DRAIN))
+    state = U.read_upserts(topic.spark, out)
     expected = [("1", "A", "B", 3), ("2", "A", "B", 1), ("3", "A", "B", 3)]
     assert rows(state.drop("timestamp")) == expected
-    K.snapshot_keyed(topic.spark, out, "uuid", "timestamp", topic.path("snapshot"))
-    again = K.read_keyed(topic.spark, topic.path("snapshot"), "uuid", "timestamp")
-    assert rows(again) == rows(state)
+    assert rows(U.lookup_upsert(topic.spark, out, "uuid", "2").drop("timestamp")) == [("2", "A", "B", 1)]
 
 
 def test_upsert_order_within_a_batch(topic):
@@ -125,8 +124,8 @@ def test_upsert_order_within_a_batch(topic):
         request("1", Timestamp="2024-01-01T00:00:05", DepDelay=1.0),
     )
     kept = topic.requests().select("UUID", "Timestamp", "DepDelay")
-    finish(K.stream_upsert_latest(kept, topic.path("s"), "UUID", ["Timestamp"], topic.path("c"), K.DRAIN))
-    assert K.read_keyed(topic.spark, topic.path("s"), "UUID", "Timestamp").first()["DepDelay"] == 2.0
+    finish(U.stream_upsert_latest(kept, topic.path("s"), "UUID", ["Timestamp"], topic.path("c"), K.DRAIN))
+    assert U.read_upserts(topic.spark, topic.path("s")).first()["DepDelay"] == 2.0
 
 
 def test_empty_batches_are_not_written(topic):
@@ -155,6 +154,7 @@ def test_correlation_takes_the_first_response_in_time(topic):
     clock = "2024-01-01T00:{:02d}:00"
     topic.send(
         request("answered"), request("late"), request("silent"), "no json", "nor this",
+        request("stray", Timestamp=clock.format(5)), request("twice"), request("twice"),
         request("last", Timestamp=clock.format(59)),
     )
     responses = topic.folder / "responses"
@@ -162,6 +162,11 @@ def test_correlation_takes_the_first_response_in_time(topic):
     lines = [
         {"UUID": "answered", "Timestamp": clock.format(2), "Prediction": 1.0},
         {"UUID": "late", "Timestamp": clock.format(30), "Prediction": 3.0},
+        {"UUID": "stray", "Timestamp": clock.format(4), "Prediction": 9.0},
+        {"UUID": "stray", "Timestamp": clock.format(7), "Prediction": 2.0},
+        {"UUID": "stray", "Timestamp": clock.format(6), "Prediction": 3.0},
+        {"UUID": "twice", "Timestamp": clock.format(1), "Prediction": 1.0},
+        {"UUID": "twice", "Timestamp": clock.format(1), "Prediction": 2.0},
         {"UUID": "other", "Timestamp": clock.format(58), "Prediction": 0.0},
         {"UUID": "last", "Timestamp": clock.format(59), "Prediction": 0.0},
     ]
@@ -171,8 +176,8 @@ def test_correlation_takes_the_first_response_in_time(topic):
     finish(K.stream_append_mode(pairs, topic.path("o"), topic.path("c"), trigger=K.DRAIN))
     found = topic.spark.read.schema("UUID string, status string, Prediction double").json(topic.path("o"))
     assert rows(found) == [
-        ("answered", "OK", 1.0), ("last", "OK", 0.0), ("late", "WAIT", None), ("silent", "WAIT", None),
-        (None, "WAIT", None), (None, "WAIT", None),
+        ("answered", "OK", 1.0), ("late", "WAIT", None), ("silent", "WAIT", None), ("stray", "OK", 3.0),
+        ("twice", "OK", 1.0), ("twice", "OK", 1.0), (None, "WAIT", None), (None, "WAIT", None),
     ]
 
 
@@ -191,17 +196,11 @@ def test_late_requests_are_settled_afterwards(spark):
         [("late", "2024-01-01 00:05:00", 2.0), ("late", "2024-01-01 00:03:00", 1.0), ("open", "2024-01-01 09:00:00", 1.0)],
         "UUID string, Timestamp string, Prediction double",
     ).withColumn("Timestamp", stamp)
-    given = asked.filter("UUID = 'a'")
+    # Of two equal requests one was given out.
+    asked = asked.union(asked.filter("UUID IN ('a', 'late')"))
+    given = asked.filter("UUID = 'a'").limit(1).withColumn("status", F.lit("WAIT"))
     found = X.close_correlation(asked, said, given).select("UUID", "Prediction", "status").collect()
-    assert sorted(map(tuple, found)) == [("late", 1.0, "OK"), ("open", None, "WAIT")]
-
-
-def test_rows_without_a_key_are_kept_beside_the_store(spark, tmp_path):
-    rows_in = spark.createDataFrame([(None, 1), (None, 2), ("k", 1), ("k", 2)], "uuid string, n int")
-    path = str(tmp_path / "store")
-    K.keyed_writer(path, "uuid", ["n"])(rows_in, 0)
-    assert [r.n for r in spark.read.parquet(path).collect()] == [2]
-    assert sorted(r.n for r in spark.read.parquet(path + "-unkeyed").collect()) == [1, 2]
+    assert sorted(map(tuple, found)) == [("a", None, "WAIT"), ("late", 1.0, "OK"), ("late", 1.0, "OK"), ("open", None, "WAIT")]
 
 
 def test_a_rate_limit_parts_a_backlog_and_leaves_nothing_out(topic):
