@@ -39,7 +39,12 @@ def strip_paging_from_url(url: Column) -> Column:
     return F.when(url.rlike(PAGING_PATTERN), F.regexp_extract(url, PAGING_PATTERN, 1)).otherwise(url)
 
 
+def words(text: Column) -> Column:
+    """Lower-case words of a text in order."""
+    found = F.split(F.lower(text.cast("string")), r"[^\p{L}\p{N}_]+")
+    return F.array_remove(found, "")
+
+
 def search_tokens(text: Column) -> Column:
     """Distinct lower-case words of a text."""
-    words = F.split(F.lower(text.cast("string")), r"[^\p{L}\p{N}_]+")
-    return F.array_remove(F.array_distinct(words), "")
+    return F.array_distinct(words(text))

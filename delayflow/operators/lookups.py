@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from delayflow.functions.text import search_tokens
-from delayflow.operators.ordering import full_order, nav_offsets, page_by, page_flights
+from delayflow.operators.ordering import PAGE_ORDER, full_order, nav_offsets, page_by, page_flights
 from delayflow.schemas import AIRPLANES_PER_PAGE, DAY_COLUMN, FLIGHTS_PER_PAGE
+from delayflow.workspace import materialize
 
 # Fields that can be searched.
 FLIGHT_TERMS = ["Carrier", "FlightDate", "Origin", "Dest", "TailNum", "FlightNum"]
@@ -76,15 +77,17 @@ def search_page(
 
     A search without hits, or a page beyond the last, has an empty array.
     """
-    found = matching_flights(df, **terms)
-    total = found.agg(F.count("*").alias("total")).first()["total"]
-    rows = page_flights(found, start, size)
+    counted = Observation()
+    found = matching_flights(df, **terms).observe(counted, F.count(F.lit(1)).alias("total"))
+    # The job that stores the page counts all hits on its way: they are read once.
+    rows = materialize(page_by(found, full_order(df, PAGE_ORDER, nulls_last=True), start, size), "page")
     row = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
     # No more rows than a page has are gathered.
-    gathered = rows.agg(F.collect_list(row).alias("flights")).withColumns(
-        {"start": F.lit(start), "end": F.lit(start + size), "total": F.lit(total)}
+    gathered = rows.orderBy(*full_order(df, PAGE_ORDER, nulls_last=True)).agg(F.collect_list(row).alias("flights"))
+    placed = gathered.withColumns(
+        {"start": F.lit(start), "end": F.lit(start + size), "total": F.lit(counted.get["total"])}
     )
-    return nav_offsets(gathered, increment=size)
+    return nav_offsets(placed, increment=size)
 
 
 def search_airplanes(
@@ -131,13 +134,16 @@ def lookup_distance(dim: DataFrame, origin: str, dest: str) -> DataFrame:
     return dim.filter((F.col("Origin") == origin) & (F.col("Dest") == dest)).select("Distance")
 
 
-def lookup_prediction_status(responses: DataFrame, uuid: str) -> DataFrame:
-    """Status of one request: OK with the prediction, or WAIT; always one row."""
-    found = responses.filter(F.col("UUID") == uuid).agg(
-        F.count("*").alias("answers"), F.min("Prediction").alias("Prediction")
-    )
+def lookup_prediction_status(responses: DataFrame, uuid: str, moment: str = "Timestamp") -> DataFrame:
+    """Status of one request: OK with the prediction of its first answer, or WAIT; always one row.
+
+    Answers of one time, or of a table without that column, are ordered by their prediction.
+    """
+    order = [F.col(moment).isNull(), F.col(moment)] if moment in responses.columns else []
+    first = F.min(F.struct(*[c.alias(f"_{i}") for i, c in enumerate(order)], "Prediction")).alias("first")
+    found = responses.filter(F.col("UUID") == uuid).agg(F.count("*").alias("answers"), first)
     status = F.when(F.col("answers") > 0, "OK").otherwise("WAIT")
-    return found.select(F.lit(uuid).alias("id"), status.alias("status"), "Prediction")
+    return found.select(F.lit(uuid).alias("id"), status.alias("status"), F.col("first.Prediction").alias("Prediction"))
 
 
 def list_carriers(fleet: DataFrame) -> DataFrame:

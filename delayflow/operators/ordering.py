@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from delayflow.operators.projection import sample_bernoulli
 from delayflow.schemas import FLIGHTS_PER_PAGE
-from delayflow.workspace import materialize
+from delayflow.workspace import discard, materialize, new_path
 
 # Sort keys.
 FEATURE_ORDER = [
@@ -92,7 +93,11 @@ def ordered_table(df: DataFrame, order: Sequence[Column], name: str = "ordered")
     A window over the whole frame would sort it in one task. Here the sort is range
     partitioned. Rows are written in the order of ``_id``, so ranges of it reach the scan.
     """
-    return materialize(sort_rows(df, order).withColumn("_id", F.monotonically_increasing_id()), name)
+    place = new_path(df.sparkSession, "unsorted")
+    ordered = sort_stored(materialize(df, "unsorted", place), order)
+    stored = materialize(ordered.withColumn("_id", F.monotonically_increasing_id()), name)
+    discard(df.sparkSession, place)
+    return stored
 
 
 def partition_counts(stored: DataFrame) -> DataFrame:
@@ -154,6 +159,60 @@ def page_flights(df: DataFrame, start: int = 0, size: int = FLIGHTS_PER_PAGE) ->
     return page_by(df, full_order(df, PAGE_ORDER, nulls_last=True), start, size)
 
 
+@dataclass(frozen=True)
+class Cursor:
+    """Where a page ended: its last row, and how many rows equal to it have been shown."""
+
+    row: tuple
+    shown: int
+
+
+def _behind(order: Sequence[str], cursor: Cursor) -> Column:
+    """Rows at the cursor's row or behind it, missing values last.
+
+    A row is behind if it is greater in one column and equal in all before it. The first column's part
+    stands alone as well, for that is what a scan can use to skip files.
+    """
+
+    def equal(name: str, value) -> Column:
+        return F.col(name).isNull() if value is None else F.col(name) == F.lit(value)
+
+    def beyond(name: str, value) -> Column:
+        # Nothing is behind a missing value.
+        return F.lit(False) if value is None else (F.col(name) > F.lit(value)) | F.col(name).isNull()
+
+    wanted = F.lit(True)
+    for name, value in reversed(list(zip(order, cursor.row))):
+        wanted = beyond(name, value) | (equal(name, value) & wanted)
+    first, value = order[0], cursor.row[0]
+    near = F.col(first).isNull() if value is None else (F.col(first) >= F.lit(value)) | F.col(first).isNull()
+    return near & wanted
+
+
+def page_after(
+    df: DataFrame, keys: Sequence[str], cursor: Cursor | None = None, size: int = FLIGHTS_PER_PAGE
+) -> tuple[DataFrame, Cursor | None]:
+    """The page behind a cursor, and the cursor behind that page; None at the end.
+
+    The order is that of ``page_flights``: the keys, then all other columns, missing values
+    last. Whatever the page's number, a task keeps no more rows than a page and those equal to the
+    cursor's; nothing is stored. Over files that are clustered by the first key those
+    before the cursor are not read. The page is collected, as its last row is the next cursor.
+    """
+    names = [k for k in keys if k in df.columns] + [c for c in df.columns if c not in keys]
+    rest = df if cursor is None else df.filter(_behind(names, cursor))
+    skipped = cursor.shown if cursor else 0
+    order = [F.col(c).asc_nulls_last() for c in names]
+    rows = rest.orderBy(*order).offset(skipped).limit(size).collect()
+    page = df.sparkSession.createDataFrame(rows, df.schema)
+    if len(rows) < size:
+        return page, None
+    last = tuple(rows[-1][n] for n in names)
+    same = sum(tuple(r[n] for n in names) == last for r in rows)
+    before = skipped if cursor and cursor.row == last else 0
+    return page, Cursor(last, before + same)
+
+
 def nav_offsets(
     df: DataFrame,
     start: str = "start",

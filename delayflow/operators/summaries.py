@@ -81,16 +81,20 @@ def manufacturer_totals(df: DataFrame, packed: bool = False) -> DataFrame:
 
 
 def airplanes_per_carrier(df: DataFrame, max_items: int = DOCUMENT_ITEMS) -> DataFrame:
-    """Fleet size and tail numbers per carrier; airplanes without a carrier are one fleet."""
-    fleet = materialize(
-        df.select("Carrier", "TailNum").filter(F.col("TailNum").isNotNull()).distinct(), "fleet"
-    )
+    """Fleet size and tail numbers per carrier; airplanes without a carrier are one fleet.
+
+    A carrier none of whose flights has a tail number has a fleet of 0 and an empty array.
+    """
+    fleet = materialize(df.select("Carrier", "TailNum").distinct(), "fleet")
     same = F.struct("Carrier").alias("_same")
-    counts = fleet.groupBy(same).agg(F.count("*").alias("FleetCount"))
+    counts = fleet.groupBy(same).agg(F.count("TailNum").alias("FleetCount"))
     documents = pack_documents(fleet, "Carrier", ["TailNum"], "TailNumbers", max_items)
-    # The documents are the large side: they stay where they are while the counts are few.
+    # The documents are the large side: they stay where they are while the counts are few. Arrays
+    # are gathered without NULLs, so only the NULL of a carrier that has no other is left empty.
     counted = join_dimension(documents.withColumn("_same", same), counts, ["_same"], "inner")
-    return counted.select("Carrier", "FleetCount", "Part", "TailNumbers")
+    return counted.filter((F.size("TailNumbers") > 0) | (F.col("FleetCount") == 0)).select(
+        "Carrier", "FleetCount", "Part", "TailNumbers"
+    )
 
 
 def flights_per_airplane(df: DataFrame, max_items: int = DOCUMENT_ITEMS) -> DataFrame:

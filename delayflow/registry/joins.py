@@ -31,23 +31,23 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "correlate_request_response",
-    """SELECT r.*, p.Prediction, CASE WHEN p.UUID IS NULL THEN 'WAIT' ELSE 'OK' END AS status
-    FROM requests r LEFT JOIN (SELECT UUID, min(Prediction) AS Prediction FROM responses
-      GROUP BY UUID) p ON r.UUID = p.UUID""",
+    """SELECT r.*, p.Prediction, p.answered, CASE WHEN p.UUID IS NULL THEN 'WAIT' ELSE 'OK' END AS status
+    FROM requests r LEFT JOIN (SELECT UUID, arg_min(Prediction, "Timestamp") AS Prediction,
+      min("Timestamp") AS answered FROM responses GROUP BY UUID) p ON r.UUID = p.UUID""",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return J.correlate_request_response(
-        view(spark, sf_dir, "requests"), view(spark, sf_dir, "responses")
-    )
+    responses = view(spark, sf_dir, "responses").withColumnRenamed("Timestamp", "answered")
+    return J.correlate_request_response(view(spark, sf_dir, "requests"), responses, "answered")
 
 
 @query(
     "airline_profile",
     """WITH fleet AS (SELECT DISTINCT Carrier, TailNum FROM flights),
-    counted AS (SELECT *, count(*) OVER (PARTITION BY Carrier) AS FleetCount FROM fleet)
+    counted AS (SELECT *, count(TailNum) OVER (PARTITION BY Carrier) AS FleetCount FROM fleet)
     SELECT coalesce(a.CarrierCode, f.Carrier) AS CarrierCode, a.Name, a.url, a.domain, a.logo_url,
       a.summary, coalesce(f.FleetCount, 0) AS FleetCount, f.TailNum
-    FROM airlines a FULL JOIN counted f ON a.CarrierCode = f.Carrier""",
+    FROM airlines a FULL JOIN (SELECT * FROM counted WHERE TailNum IS NOT NULL OR FleetCount = 0) f
+      ON a.CarrierCode = f.Carrier""",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     profile = J.airline_profile(

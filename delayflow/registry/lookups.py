@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delayflow.operators import lookups as L
+from delayflow.operators.search import build_index, search_index
 from delayflow.operators.summaries import airplanes_per_carrier
 from delayflow.registry import query
-from delayflow.registry.tables import distances, flights, view
+from delayflow.registry.tables import distances, flights, stored_path, view
+from delayflow.sources.writers import write_clustered
 
 ALL_FLIGHT_COLUMNS = (
     "FlightNum, FlightDate, Year, Month, DayofMonth, DayOfWeek, Carrier, TailNum, Origin, Dest, "
@@ -31,6 +33,36 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.lookup_flight(flights(spark, sf_dir), "C12", "1996-12-17", "1632")
 
 
+def _clustered(spark: SparkSession, sf_dir: str, name: str, order: list[str], looked_up: list[str]) -> DataFrame:
+    """A view as a table laid out for point lookups, written once per session."""
+
+    def build(path: str) -> None:
+        write_clustered(view(spark, sf_dir, name), path, order, looked_up, row_group_bytes=1024 * 1024)
+
+    return spark.read.parquet(stored_path(spark, sf_dir, f"clustered-{name}", build))
+
+
+@query(
+    "lookup_flight_clustered",
+    f"""SELECT * FROM flights WHERE Carrier = 'C12' AND FlightDate = DATE '1996-12-17'
+    AND FlightNum = '1632' ORDER BY {ordered(nulls="FIRST")} LIMIT 1""",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _clustered(spark, sf_dir, "flights", ["FlightDate", "Carrier"], ["FlightNum"])
+    return L.lookup_flight(table, "C12", "1996-12-17", "1632")
+
+
+@query(
+    "lookup_status_clustered",
+    """SELECT id, CASE WHEN count(Prediction) > 0 THEN 'OK' ELSE 'WAIT' END AS status,
+    arg_min(Prediction, "Timestamp") AS Prediction
+    FROM (SELECT '0' AS id UNION ALL SELECT '33') LEFT JOIN responses ON UUID = id GROUP BY id""",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _clustered(spark, sf_dir, "responses", ["Timestamp"], ["UUID"])
+    return L.lookup_prediction_status(table, "0").unionByName(L.lookup_prediction_status(table, "33"))
+
+
 @query(
     "list_route_flights",
     """SELECT * FROM flights WHERE Origin = 'A10' AND Dest = 'A19'
@@ -88,6 +120,34 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_AIRPLANE = "TailNum, Owner, OwnerState, Manufacturer, Model, ManufacturerYear, SerialNumber, EngineManufacturer, EngineModel"
+
+
+@query(
+    "search_airplanes_relevance",
+    rf"""WITH texts AS (SELECT *, 'Owner' AS field, regexp_split_to_array(lower(Owner), '[^\p{{L}}\p{{N}}_]+') AS found FROM airplanes
+      UNION ALL
+      SELECT *, 'Manufacturer' AS field, regexp_split_to_array(lower(Manufacturer), '[^\p{{L}}\p{{N}}_]+') AS found FROM airplanes),
+    postings AS (SELECT * EXCLUDE (found), len(found) AS length, unnest(found) AS word FROM texts),
+    counted AS (SELECT *, count(*) AS times FROM postings GROUP BY ALL),
+    terms AS (SELECT word, field, count(*) AS documents FROM counted GROUP BY word, field),
+    fields AS (SELECT field, avg(len(found)) AS mean, count(*) AS filled FROM texts GROUP BY field),
+    asked(word, field) AS (VALUES ('blue', 'Owner'), ('widget', 'Owner'), ('3', 'Owner'), ('brand', 'Manufacturer'), ('7', 'Manufacturer')),
+    hits AS (SELECT {_AIRPLANE},
+      round(sum(ln(1 + (filled - documents + 0.5) / (documents + 0.5)) * times * 2.2
+        / (times + 1.2 * (0.25 + 0.75 * length / mean))), 6) AS score
+      FROM counted JOIN asked USING (word, field) JOIN terms USING (word, field) JOIN fields USING (field)
+      GROUP BY {_AIRPLANE} HAVING count(DISTINCT field) = 2)
+    SELECT * FROM hits ORDER BY score DESC, {_AIRPLANE} LIMIT 5 OFFSET 10""",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    airplanes = view(spark, sf_dir, "airplanes")
+    index = stored_path(
+        spark, sf_dir, "airplane-index", lambda path: build_index(airplanes, path, ["Owner", "Manufacturer"])
+    )
+    return search_index(spark, index, start=10, Owner="Blue Widget 3", Manufacturer="brand 7")
+
+
 @query(
     "requests_in_day",
     """SELECT * FROM requests WHERE "Timestamp" >= '2024-01-15' AND "Timestamp" <= '2024-01-16'""",
@@ -104,7 +164,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "lookup_prediction_status",
     """SELECT id, CASE WHEN count(Prediction) > 0 THEN 'OK' ELSE 'WAIT' END AS status,
-    min(Prediction) AS Prediction
+    arg_min(Prediction, "Timestamp") AS Prediction
     FROM (SELECT '0' AS id UNION ALL SELECT '1') LEFT JOIN responses ON UUID = id GROUP BY id""",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,6 +71,35 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return O.page_flights(flights(spark, sf_dir), start=30000)
 
 
+@query("page_after", f"SELECT * FROM flights ORDER BY {PAGE} LIMIT 15 OFFSET 45")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Three pages of 15 and the one behind them, each from where the last one ended.
+    cursor = None
+    for _ in range(4):
+        page, cursor = O.page_after(flights(spark, sf_dir), O.PAGE_ORDER, cursor)
+    return page
+
+
+@query(
+    "page_after_deep",
+    f"""SELECT * FROM flights WHERE FlightDate >
+      (SELECT min(FlightDate) + CAST((max(FlightDate) - min(FlightDate)) // 2 AS INTEGER) FROM flights)
+    ORDER BY {PAGE} LIMIT 15""",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = flights(spark, sf_dir)
+    first, last_day = F.min("FlightDate"), F.max("FlightDate")
+    middle = whole.agg(F.date_add(first, F.floor(F.datediff(last_day, first) / 2).cast("int"))).first()[0]
+    middle = whole.filter(F.col("FlightDate") <= F.lit(middle)).agg(F.max("FlightDate")).first()[0]
+    # The cursor of a page that ended with the last row of the first half.
+    names = O.PAGE_ORDER + [c for c in whole.columns if c not in O.PAGE_ORDER]
+    day = whole.filter(F.col("FlightDate") == F.lit(middle))
+    last = day.orderBy(*[F.col(c).desc_nulls_first() for c in names]).first()
+    same = day.filter(reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.lit(last[c])) for c in names]))
+    page, _ = O.page_after(whole, O.PAGE_ORDER, O.Cursor(tuple(last[c] for c in names), same.count()))
+    return page
+
+
 @query(
     "nav_offsets",
     """SELECT *, next_bottom >= 0 AND next_top > 0 AND total > next_bottom AS next_shown,

@@ -73,12 +73,12 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "airplanes_per_carrier",
-    """SELECT Carrier, count(*) OVER (PARTITION BY Carrier) AS FleetCount, TailNum
-    FROM (SELECT DISTINCT Carrier, TailNum FROM flights)""",
+    """SELECT * FROM (SELECT Carrier, count(TailNum) OVER (PARTITION BY Carrier) AS FleetCount, TailNum
+    FROM (SELECT DISTINCT Carrier, TailNum FROM flights)) WHERE TailNum IS NOT NULL OR FleetCount = 0""",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.airplanes_per_carrier(flights(spark, sf_dir)).select(
-        "Carrier", "FleetCount", F.explode("TailNumbers").alias("TailNum")
+        "Carrier", "FleetCount", F.explode_outer("TailNumbers").alias("TailNum")
     )
 
 

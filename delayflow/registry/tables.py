@@ -21,7 +21,7 @@ from delayflow.operators.projection import (
 )
 from delayflow.operators.summaries import route_avg_distance
 from delayflow.sources.readers import scan_parquet
-from delayflow.workspace import materialize
+from delayflow.workspace import materialize, new_path
 
 VIEWS = {
     "flights": """
@@ -31,8 +31,10 @@ SELECT CAST(l.l_partkey AS STRING) AS FlightNum,
   CAST(month(l.l_shipdate) AS INT) AS Month,
   CAST(day(l.l_shipdate) AS STRING) AS DayofMonth,
   CAST(<weekday> AS STRING) AS DayOfWeek,
-  'C' || lpad(CAST(l.l_suppkey % 14 AS STRING), 2, '0') AS Carrier,
-  'N' || lpad(CAST(l.l_suppkey AS STRING), 5, '0') AS TailNum,
+  CASE WHEN l.l_orderkey % 53 <> 0
+    THEN 'C' || lpad(CAST(l.l_suppkey % 14 AS STRING), 2, '0') END AS Carrier,
+  CASE WHEN l.l_suppkey % 14 <> 3 AND l.l_orderkey % 47 <> 0
+    THEN 'N' || lpad(CAST(l.l_suppkey AS STRING), 5, '0') END AS TailNum,
   'A' || lpad(CAST(c.c_nationkey AS STRING), 2, '0') AS Origin,
   'A' || lpad(CAST(s.s_nationkey AS STRING), 2, '0') AS Dest,
   CAST(100 + 37 * ((c.c_nationkey * 7 + s.s_nationkey * 13) % 60) AS DOUBLE) AS Distance,
@@ -83,8 +85,12 @@ SELECT CAST(event_id AS STRING) AS UUID,
 FROM {events}
 """,
     "responses": """
-SELECT CAST(event_id AS STRING) AS UUID, CAST(event_id % 4 AS DOUBLE) AS Prediction
+SELECT CAST(event_id AS STRING) AS UUID, CAST(event_id % 4 AS DOUBLE) AS Prediction,
+  replace(substr(CAST(ts AS STRING), 1, 17), ' ', 'T') || '59' AS `Timestamp`
 FROM {events} WHERE event_type <> 'error'
+UNION ALL
+SELECT CAST(event_id AS STRING) AS UUID, CAST(0 AS DOUBLE) AS Prediction, '2999-01-01T00:00:00' AS `Timestamp`
+FROM {events} WHERE event_type <> 'error' AND event_id % 3 = 0
 """,
     "scored": """
 SELECT FlightNum, Carrier, Origin, Dest,
@@ -161,13 +167,13 @@ def with_views(sql: str) -> str:
 
 
 # Near-unique key of the one large table. Its test copies are one row group, which a scan
-# cannot split; they are spread by the key. Copies of more splits are read as they are.
+# cannot split, so the fixture is spread by the key; the library's readers never shuffle.
 _SPREAD = {"lineitem": "l_orderkey"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = scan_parquet(spark, f"{sf_dir}/{name}.parquet")
-    if name in _SPREAD and df.rdd.getNumPartitions() == 1:
+    if name in _SPREAD:
         return df.repartition(spark.sparkContext.defaultParallelism, _SPREAD[name])
     return df
 
@@ -208,6 +214,19 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
     return _stored[key]
 
 
+_paths: dict[tuple[str, str, str], str] = {}
+
+
+def stored_path(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    """Where a table lies that ``write`` puts at a path, once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _paths:
+        path = new_path(spark, name)
+        write(path)
+        _paths[key] = path
+    return _paths[key]
+
+
 def distances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distance per pair of airports, from the flights."""
     return key_distances(route_avg_distance(flights(spark, sf_dir)))

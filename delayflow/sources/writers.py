@@ -88,6 +88,40 @@ def daily_partition_overwrite(
     )
 
 
+def write_clustered(
+    df: DataFrame,
+    path: str,
+    order: Sequence[str],
+    looked_up: Sequence[str],
+    distinct: int = 100_000,
+    row_group_bytes: int = 16 * 1024 * 1024,
+) -> None:
+    """Replace ``path`` by Parquet files laid out for point lookups.
+
+    Files are ranges of ``order``, so that the least and greatest values of a row group tell
+    most of them off. For the columns ``looked_up`` each row group has a Bloom filter, made for some
+    ``distinct`` values, that tells off others. Smaller row groups are skipped more finely.
+    """
+    spark = df.sparkSession
+    place = new_path(spark, "unsorted")
+    ordered = sort_stored(materialize(df, "unsorted", place), list(order))
+    # A writer's own options lose the case of column names, so these are set for the session.
+    settings = {f"parquet.bloom.filter.enabled#{c}": "true" for c in looked_up}
+    settings |= {f"parquet.bloom.filter.expected.ndv#{c}": str(distinct) for c in looked_up}
+    settings["parquet.block.size"] = str(row_group_bytes)
+    # The older form of timestamps, which is the default, has no least and greatest values.
+    settings["spark.sql.parquet.outputTimestampType"] = "TIMESTAMP_MICROS"
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        ordered.write.mode("overwrite").parquet(path)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    discard(spark, place)
+
+
 def write_json_text(df: DataFrame, path: str) -> None:
     """Replace ``path`` by one JSON text line per record."""
     to_json_record(df).write.mode("overwrite").text(path)
