@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 # Fixed value: a URL whose paging arguments directly follow the question mark.
 PAGING_PATTERN = r"(?d)^(.+)\?start=.+&end=.+"
@@ -23,6 +23,21 @@ def parse_json(text: Column, schema: StructType) -> Column:
     return F.from_json(text, schema, {"mode": "PERMISSIVE"})
 
 
+def parse_or_dead(text: Column, schema: StructType) -> tuple[Column, Column]:
+    """JSON text as a struct, and a struct of its ``raw`` text if it is a dead letter.
+
+    Dead are texts that are no JSON object, and those with a field that is not of its type. The
+    second is NULL for good texts, the first for dead ones.
+    """
+    corrupt = "_corrupt"
+    wide = StructType([*schema.fields, StructField(corrupt, StringType())])
+    record = F.from_json(text, wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
+    # A text without any field, say an empty one, is not marked, but has no record either.
+    dead = record.isNull() | record[corrupt].isNotNull() | ~F.coalesce(F.trim(text).startswith("{"), F.lit(False))
+    fields = F.struct(*[record[f.name].alias(f.name) for f in schema.fields])
+    return F.when(~dead, fields), F.when(dead, F.struct(text.alias("raw")))
+
+
 def to_json_record(df: DataFrame, name: str = "value") -> DataFrame:
     """One JSON text column holding all columns; NULL fields are left out."""
     return df.select(F.to_json(F.struct("*")).alias(name))

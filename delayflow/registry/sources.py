@@ -47,6 +47,19 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(R.scan_json_inferred_bz2(spark, path, FEATURE_SCHEMA))
 
 
+@query(
+    "scan_json_inferred",
+    """SELECT Carrier, Origin, Dest, FlightNum, CAST(DayOfYear AS BIGINT) AS DayOfYear, Distance, DepDelay, ArrDelay,
+    strftime(FlightDate, '%Y-%m-%d') AS FlightDate FROM features""",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "features")
+    features(spark, sf_dir).write.json(path, compression="bzip2")
+    # Without a schema: whole numbers are long, dates stay text.
+    names = ["Carrier", "Origin", "Dest", "FlightNum", "DayOfYear", "Distance", "DepDelay", "ArrDelay", "FlightDate"]
+    return R.scan_json_inferred_bz2(spark, path).select(*names)
+
+
 def _feature_table(spark: SparkSession, sf_dir: str, database: str) -> str:
     place = new_path(spark, "lakehouse")
     name = f"features_{place[-12:]}"

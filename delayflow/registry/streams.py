@@ -9,7 +9,9 @@ from pyspark.sql.streaming.query import StreamingQuery
 from delayflow.functions.text import parse_json
 from delayflow.registry import query
 from delayflow.registry.learning import trained
-from delayflow.registry.tables import comparable, distances, enriched, stored, view
+from delayflow.registry.tables import comparable, distances, enriched, stored, stored_path, view
+from delayflow.schemas import STREAM_REQUEST_SCHEMA
+from delayflow.sources.readers import scan_json_or_dead
 from delayflow.sources.writers import emit_requests
 from delayflow.session import state_session
 from delayflow.streaming import sinks as K
@@ -291,3 +293,46 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return responses.select(F.lit("response").alias("sink"), F.col("UUID").alias("uuid"), "Prediction").unionByName(
         predictions.select(F.lit("store").alias("sink"), "uuid", F.col("prediction").cast("double").alias("Prediction"))
     )
+
+
+# Messages of which a seventh is cut off and a seventh has a weekday that is no number.
+_MIXED = """SELECT CAST(UUID AS BIGINT) % 7 AS kind, UUID, Origin, Dest,
+  CASE CAST(UUID AS BIGINT) % 7
+    WHEN 0 THEN '{"UUID":"' || UUID || '","Origin":"' || Origin
+    WHEN 1 THEN '{"UUID":"' || UUID || '","DayOfWeek":"Monday"}'
+    ELSE '{"UUID":"' || UUID || '","Origin":"' || Origin || '","Dest":"' || Dest || '","DayOfWeek":3}'
+  END AS value FROM <requests>"""
+_ROUTED = f"""SELECT 'good' AS route, UUID, Origin, Dest, 3 AS DayOfWeek, NULL AS raw
+  FROM ({_MIXED.replace("<requests>", "requests")}) WHERE kind > 1
+UNION ALL SELECT 'dead' AS route, NULL, NULL, NULL, NULL, value FROM ({_MIXED.replace("<requests>", "requests")}) WHERE kind <= 1"""
+
+
+def mixed_lines(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of messages some of which are no proper requests."""
+
+    def write(path: str) -> None:
+        # Braces are those of JSON but for the table's.
+        text = _MIXED.replace("{", "{{").replace("}", "}}").replace("<requests>", "{requests}")
+        mixed = spark.sql(text, requests=view(spark, sf_dir, "requests"))
+        mixed.select("value").write.text(path)
+
+    return stored_path(spark, sf_dir, "mixed", write)
+
+
+def _routed(good: DataFrame, dead: DataFrame) -> DataFrame:
+    kept = good.select(F.lit("good").alias("route"), "UUID", "Origin", "Dest", "DayOfWeek")
+    return kept.unionByName(dead.select(F.lit("dead").alias("route"), "raw"), allowMissingColumns=True)
+
+
+@query("stream_dead_letters", _ROUTED)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "routed")
+    source = S.stream_source_requests(spark, "text", {"path": mixed_lines(spark, sf_dir)})
+    rows = X.stream_parse_or_dead(source)
+    finish(K.stream_route(rows, [K.table_writer(f"{path}/good")], K.table_writer(f"{path}/dead"), f"{path}-checkpoint", K.DRAIN))
+    return _routed(spark.read.parquet(f"{path}/good"), spark.read.parquet(f"{path}/dead"))
+
+
+@query("scan_json_or_dead", _ROUTED)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _routed(*scan_json_or_dead(spark, mixed_lines(spark, sf_dir), STREAM_REQUEST_SCHEMA))

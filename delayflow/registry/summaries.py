@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from delayflow.operators import rollups as R
 from delayflow.operators import summaries as S
 from delayflow.registry import query
-from delayflow.registry.tables import flights, view
+from delayflow.registry.tables import flights, stored_path, view
 
 
 @query("route_avg_distance", "SELECT Origin, Dest, Distance FROM routes ORDER BY Distance")
@@ -91,6 +92,46 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.flights_per_airplane(flights(spark, sf_dir)).select("TailNum", F.inline("Flights"))
 
 
+def _loaded(spark: SparkSession, sf_dir: str) -> str:
+    """Partial counts of the flights in three loads, the second of which came twice."""
+
+    def load(path: str) -> None:
+        whole = flights(spark, sf_dir)
+        part = F.pmod(F.crc32(F.col("FlightNum").cast("binary")), F.lit(3))
+        for number in (0, 1, 2, 1):
+            R.merge_day(whole.filter(part == number), path, f"2024-01-0{number + 1}")
+
+    return stored_path(spark, sf_dir, "partials", load)
+
+
+@query(
+    "flights_by_month_so_far",
+    "SELECT Year, Month, count(*) AS total_flights FROM flights GROUP BY Year, Month",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.months_so_far(spark, _loaded(spark, sf_dir))
+
+
+@query(
+    "airplanes_per_carrier_so_far",
+    """SELECT * FROM (SELECT Carrier, count(TailNum) OVER (PARTITION BY Carrier) AS FleetCount, TailNum
+    FROM (SELECT DISTINCT Carrier, TailNum FROM flights)) WHERE TailNum IS NOT NULL OR FleetCount = 0""",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.fleets_so_far(spark, _loaded(spark, sf_dir)).select(
+        "Carrier", "FleetCount", F.explode_outer("TailNumbers").alias("TailNum")
+    )
+
+
+@query(
+    "flights_per_airplane_so_far",
+    """SELECT TailNum, Carrier, FlightDate, FlightNum, Origin, Dest, count(*) AS Copies
+    FROM flights GROUP BY ALL""",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.airplanes_so_far(spark, _loaded(spark, sf_dir)).select("TailNum", F.inline("Flights"))
+
+
 @query(
     "delay_histogram",
     """SELECT CAST(floor(ArrDelay / 15) * 15 AS DOUBLE) AS label, count(*) AS "value"

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, IntegerType, StringType, StructField, StructType
 
-from delayflow.functions.text import parse_json
+from delayflow.functions.text import parse_json, parse_or_dead
 
 
 def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -61,3 +61,16 @@ def store_scan_with_range(
     kind = stored.schema[column].dataType
     low_value, high_value = F.lit(low).cast(kind), F.lit(high).cast(kind)
     return stored.filter(F.col(column).between(low_value, high_value))
+
+
+def scan_json_or_dead(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
+    """JSON lines with a schema, and the lines that are dead letters, as ``raw`` text.
+
+    Both read the files again; cache or store what is used more than once.
+    """
+    good, dead = parse_or_dead(F.col("value"), schema)
+    parsed = spark.read.text(path).select(good.alias("record"), dead.alias("dead"))
+    return (
+        parsed.filter(F.col("dead").isNull()).select("record.*"),
+        parsed.filter(F.col("dead").isNotNull()).select("dead.*"),
+    )

@@ -183,3 +183,38 @@ def stream_fanout(
             batch.unpersist()
 
     return start(df.writeStream.foreachBatch(write), checkpoint, trigger)
+
+
+def stream_route(
+    df: DataFrame,
+    writers: Sequence[BatchWriter],
+    dead: BatchWriter,
+    checkpoint: str,
+    trigger: Mapping | None = None,
+    column: str = "dead",
+) -> StreamingQuery:
+    """Good rows to all writers, dead letters with their raw text to another.
+
+    Every message comes to one of the two, so the rows of both add up to the input.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            good = batch.filter(F.col(column).isNull()).drop(column)
+            for writer in writers:
+                writer(good, batch_id)
+            dead(batch.filter(F.col(column).isNotNull()).select(f"{column}.*"), batch_id)
+        finally:
+            batch.unpersist()
+
+    return start(df.writeStream.foreachBatch(write), checkpoint, trigger)
+
+
+def table_writer(path: str, file_format: str = "parquet") -> BatchWriter:
+    """Rows per micro-batch as they are; a batch run again replaces its folder."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").format(file_format).save(_batch_folder(batch, batch_id, path))
+
+    return write

@@ -6,7 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from delayflow.functions.text import parse_json, value_to_string
+from delayflow.functions.text import parse_json, parse_or_dead, value_to_string
 from delayflow.functions.times import request_date_parts
 from delayflow.operators.joins import BROADCAST_BYTES, enrich_distance
 from delayflow.operators.learning import predict
@@ -21,6 +21,17 @@ def stream_parse_requests(df: DataFrame) -> DataFrame:
     return flatten_struct(df.select(record.alias("flight")), "flight", STREAM_REQUEST_FIELDS)
 
 
+def stream_parse_or_dead(df: DataFrame) -> DataFrame:
+    """The request columns of each message, and ``dead``: its raw text if it is no proper request.
+
+    Messages of other shape, and records with a field that does not parse, are dead letters;
+    their request columns are NULL. Hand the rows to ``stream_route``.
+    """
+    good, dead = parse_or_dead(value_to_string(F.col("value")), STREAM_REQUEST_SCHEMA)
+    parsed = df.select(good.alias("flight"), dead.alias("dead"))
+    return parsed.select(*[F.col(f"flight.{c}").alias(c) for c in STREAM_REQUEST_FIELDS], "dead")
+
+
 def stream_score(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Requests with their predicted class; the model is loaded once, before the start."""
     return predict(model, df)

@@ -218,3 +218,17 @@ def test_a_rate_limit_parts_a_backlog_and_leaves_nothing_out(topic):
     finish(running)
     assert [p["numInputRows"] for p in running.recentProgress if p["numInputRows"]] == [2, 2, 1]
     assert sorted(r["UUID"] for r in topic.spark.read.json(shown).collect()) == list("01234")
+
+
+def test_every_message_is_good_or_a_dead_letter(topic):
+    odd = ["", "   ", "[1]", '"text"', "7", "{", '{"UUID": "x", "DepDelay": "late"}', '{"UUID": "y", "Timestamp": "never"}', "null"]
+    topic.send(request("1", DepDelay=1.5), "{}", {"UUID": "2", "more": 1}, *odd)
+    messages = S.stream_earliest(topic.spark, str(topic.input))
+    good, dead = topic.path("good"), topic.path("dead")
+    rows_in = X.stream_parse_or_dead(messages)
+    finish(K.stream_route(rows_in, [K.table_writer(good)], K.table_writer(dead), topic.path("c"), K.DRAIN))
+    assert rows(topic.spark.read.parquet(good).select("UUID", "DepDelay")) == [("1", 1.5), ("2", None), (None, None)]
+    assert sorted(r.raw for r in topic.spark.read.parquet(dead).select("raw").collect()) == sorted(odd)
+    batch = S.stream_earliest(topic.spark, str(topic.input)).isStreaming
+    whole = topic.spark.createDataFrame([(None,), ("{}",)], "value string")
+    assert batch and [r.dead is None for r in X.stream_parse_or_dead(whole).collect()] == [False, True]
