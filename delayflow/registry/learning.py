@@ -7,6 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from delayflow.operators import encoding as E
 from delayflow.operators import learning as M
 from delayflow.operators.projection import derive_route
 from delayflow.registry import query
@@ -173,3 +174,34 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
         # Delays of the test tables do not follow the features, so it is not asked to beat the mean.
         F.lit(0 < held_out["rows"] < rows.count() and held_out["error"] > 0).alias("held_out_measured"),
     )
+
+
+@query(
+    "target_encoding",
+    f"""WITH routed AS ({_ROUTED}),
+    labelled AS (SELECT *, CASE WHEN ArrDelay < -15 THEN 0 WHEN ArrDelay < 0 THEN 1
+      WHEN ArrDelay < 30 THEN 2 ELSE 3 END AS label FROM routed)
+    SELECT Route, count(*) AS flights, round((sum(label) + 20 * (SELECT avg(label) FROM labelled))
+      / (count(*) + 20), 9) AS encoded, TRUE AS folds_held_out FROM labelled GROUP BY Route""",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = M.bucketize_arrival_delay(derive_route(stored_features(spark, sf_dir)))
+    encoding, training = E.fit_target_encoding(labelled, new_path(spark, "encoding"), ["Route"])
+    whole = encoding.encode(labelled).groupBy("Route").agg(
+        F.count("*").alias("flights"), F.round(F.max("Route_encoded"), 9).alias("encoded")
+    )
+    # Within a fold all rows of a route have one number, which differs from that of all rows.
+    kinds = training.groupBy("Route").agg(F.count_distinct("Route_encoded").alias("kinds"))
+    return whole.join(kinds, "Route").select(
+        "Route", "flights", "encoded", (F.col("kinds").between(1, E.FOLDS)).alias("folds_held_out")
+    )
+
+
+@query("evaluate_encoded_forest", "SELECT count(*) > 0 AS measured, TRUE AS beats_majority FROM features")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "encoded")
+    measured = E.evaluate_encoded_forest(stored_features(spark, sf_dir), path)[1]
+    found = F.col("accuracy")
+    return measured.select(
+        found.between(0.0, 1.0).alias("measured"), (found > majority(spark, sf_dir)).alias("beats_majority")
+    )
