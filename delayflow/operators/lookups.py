@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from delayflow.functions.text import search_tokens
-from delayflow.operators.ordering import PAGE_ORDER, full_order, nav_offsets, page_by, page_flights
+from delayflow.operators.ordering import PAGE_ORDER, full_order, nav_offsets, page_by, page_flights, page_names
 from delayflow.schemas import AIRPLANES_PER_PAGE, DAY_COLUMN, FLIGHTS_PER_PAGE
 from delayflow.workspace import materialize
 
@@ -80,7 +80,7 @@ def search_page(
     counted = Observation()
     found = matching_flights(df, **terms).observe(counted, F.count(F.lit(1)).alias("total"))
     # The job that stores the page counts all hits on its way: they are read once.
-    rows = materialize(page_by(found, full_order(df, PAGE_ORDER, nulls_last=True), start, size), "page")
+    rows = materialize(page_by(found, page_names(df, PAGE_ORDER), start, size), "page")
     row = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
     # No more rows than a page has are gathered.
     gathered = rows.orderBy(*full_order(df, PAGE_ORDER, nulls_last=True)).agg(F.collect_list(row).alias("flights"))
@@ -105,9 +105,8 @@ def search_airplanes(
     ]
     found = df.filter(_all_of([h > 0 for h in hits]))
     scored = found.withColumn("score", reduce(lambda a, b: a + b, hits, F.lit(0)))
-    ties = full_order(df, [], nulls_last=True)
-    order = [F.col("Owner").asc_nulls_last(), F.col("score").desc(), *ties]
-    return page_by(scored, order, start, size)
+    ranked = scored.withColumn("_rank", -F.col("score"))
+    return page_by(ranked, page_names(ranked, ["Owner", "_rank"]), start, size).drop("_rank")
 
 
 def requests_in_day(

@@ -22,6 +22,9 @@ PAGE_ORDER = ["FlightDate", "DepTime", "Carrier", "FlightNum"]
 # in one; pages further on are found by position.
 TOP_K_ROWS = 1_000
 
+# Values of a sort column whose counts come to the driver to find a page.
+MAX_VALUES = 100_000
+
 # Bits of a row id of Spark that number the rows inside a partition.
 PLACE_BITS = 33
 
@@ -142,21 +145,65 @@ def page_of_ordered(stored: DataFrame, start: int, size: int) -> DataFrame:
     return stored.filter(wanted).orderBy("_id").drop("_id")
 
 
-def page_by(df: DataFrame, order: Sequence[Column], start: int, size: int) -> DataFrame:
-    """Rows ``start`` to ``start + size`` of an order.
+def page_by_counts(df: DataFrame, names: Sequence[str], start: int, size: int) -> DataFrame:
+    """Rows ``start`` to ``start + size`` by the columns in order, missing values last; nothing is stored.
 
-    Early pages are a top-k that keeps ``start + size`` rows per task. Later ones
-    are cut by position, so that no task has to hold all rows before the page. A caller
-    of many deep pages keeps one ``ordered_table`` and cuts them with ``page_of_ordered``.
+    Rows per value of the first column tell in which value the page begins. Within it the next
+    column is counted, and so on, until the page is near enough to be a top-k of what is left. A page
+    that goes over the end of a value is the end of that value and the beginning of what is behind it.
+    Rows that are equal in all columns need no order. A column of more than ``MAX_VALUES``
+    values is not counted on the driver; the rest is then sorted and stored instead.
+    """
+    rest, offset = df, start
+    for place, name in enumerate(names):
+        order = [F.col(c).asc_nulls_last() for c in names[place:]]
+        if offset + size <= TOP_K_ROWS:
+            return rest.orderBy(*order).offset(offset).limit(size)
+        key = F.col(name)
+        counted = rest.groupBy(name).agg(F.count("*").alias("_rows")).orderBy(key.asc_nulls_last())
+        counts = counted.limit(MAX_VALUES + 1).collect()
+        if len(counts) > MAX_VALUES:
+            return page_of_ordered(ordered_table(rest, order), offset, size)
+        for row in counts:
+            if offset < row["_rows"]:
+                break
+            offset -= row["_rows"]
+        else:
+            return rest.limit(0)
+        value, rows = row[name], row["_rows"]
+        inside = rest.filter(key.eqNullSafe(F.lit(value)))
+        if offset + size > rows and value is not None:
+            left = rows - offset
+            last = [F.col(c).desc_nulls_first() for c in names[place:]]
+            behind = rest.filter((key > F.lit(value)) | key.isNull()).orderBy(*order).limit(size - left)
+            if left > TOP_K_ROWS or size > TOP_K_ROWS:
+                return page_of_ordered(ordered_table(rest.filter((key >= F.lit(value)) | key.isNull()), order), offset, size)
+            return inside.orderBy(*last).limit(left).unionByName(behind).orderBy(*order)
+        rest = inside
+    return rest.limit(max(0, size))
+
+
+def page_by(df: DataFrame, names: Sequence[str], start: int, size: int) -> DataFrame:
+    """Rows ``start`` to ``start + size`` by the columns in order, missing values last.
+
+    Early pages are a top-k that keeps ``start + size`` rows per task. Later ones are found by
+    counts, so that no task has to hold all rows before the page. A caller of many deep pages
+    keeps one ``ordered_table`` and cuts them with ``page_of_ordered``, or goes on with ``page_after``.
     """
     if start + size <= TOP_K_ROWS:
-        return df.orderBy(*order).offset(start).limit(size)
-    return page_of_ordered(ordered_table(df, order), start, size)
+        return df.orderBy(*[F.col(c).asc_nulls_last() for c in names]).offset(start).limit(size)
+    return page_by_counts(df, names, start, size)
+
+
+def page_names(df: DataFrame, keys: Sequence[str]) -> list[str]:
+    """The keys that exist, then every other column as a tie-break."""
+    names = [k for k in keys if k in df.columns]
+    return names + [c for c in df.columns if c not in names]
 
 
 def page_flights(df: DataFrame, start: int = 0, size: int = FLIGHTS_PER_PAGE) -> DataFrame:
     """One page of flights; missing sort values come last, missing sort columns are skipped."""
-    return page_by(df, full_order(df, PAGE_ORDER, nulls_last=True), start, size)
+    return page_by(df, page_names(df, PAGE_ORDER), start, size)
 
 
 @dataclass(frozen=True)

@@ -13,6 +13,7 @@ from delayflow.operators import ordering as O
 from delayflow.operators import projection as P
 from delayflow.operators import summaries as S
 from delayflow.registry.tables import flights, view
+from delayflow.workspace import folders, materialize, session_folder
 from tests.conftest import rows
 
 FLIGHT = "FlightNum string, FlightDate date, Carrier string, Origin string, Dest string, " \
@@ -175,12 +176,24 @@ def test_paging_skips_sort_columns_that_are_missing(spark):
     assert [tuple(r) for r in O.page_flights(df, 0, 2).collect()] == [("1", "a"), ("1", None)]
 
 
-def test_deep_pages_equal_shallow_ones(stored_flights, monkeypatch):
-    keys = O.full_order(stored_flights, O.PAGE_ORDER, nulls_last=True)
-    shallow = [tuple(r) for r in O.page_by(stored_flights, keys, 700, 40).collect()]
-    monkeypatch.setattr(O, "TOP_K_ROWS", 0)
-    deep = O.page_by(stored_flights, keys, 700, 40)
-    assert [tuple(r) for r in deep.collect()] == shallow
+@pytest.mark.parametrize("top, values", [(0, 100_000), (45, 100_000), (45, 3)])
+def test_deep_pages_equal_shallow_ones(stored_flights, monkeypatch, top, values):
+    names = O.page_names(stored_flights, ["Carrier", "Month", *O.PAGE_ORDER])
+    rows_in = stored_flights.limit(2_000).unionByName(stored_flights.limit(3)).unionByName(stored_flights.limit(3))
+    stored = materialize(rows_in, "paged")
+    whole = [tuple(r) for r in stored.orderBy(*[F.col(c).asc_nulls_last() for c in names]).collect()]
+    monkeypatch.setattr(O, "TOP_K_ROWS", top)
+    monkeypatch.setattr(O, "MAX_VALUES", values)
+    first = sum(r[stored.columns.index("Carrier")] == whole[0][stored.columns.index("Carrier")] for r in whole)
+    for start in (700, first - 3, len(whole) - 5, len(whole), len(whole) + 100):
+        page = [tuple(r) for r in O.page_by(stored, names, start, 40).collect()]
+        assert page == whole[start : start + 40]
+
+
+def test_pages_by_counts_store_nothing(spark, stored_flights):
+    before = folders(spark, session_folder(spark))
+    page = O.page_flights(stored_flights, 3_000)
+    assert page.count() == 15 and folders(spark, session_folder(spark)) == before
 
 
 def test_pages_of_one_ordered_table_skip_by_id(stored_flights):
