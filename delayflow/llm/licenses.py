@@ -58,7 +58,11 @@ FOLD = bytes(
 )
 # White space is spelt out: a tag's expression ends with its line.
 _TAGGED = re.compile(r"spdx-license-identifier:[ \t]*([^\r\n]*)", re.IGNORECASE)
-_TOKEN = re.compile(r"[()]|[A-Za-z0-9.+:-]+")
+# A slash between licences is an older way to write a choice; a comment's end is none.
+_TOKEN = re.compile(r"[()]|(?<!\*)/|[A-Za-z0-9.+:-]+")
+_COMMENT_END = re.compile(r"\s*(?:\*+/|-->|#}|\*\))\s*$")
+# What looks like an identifier: with a capital, a digit or a hyphen, as ordinary words seldom are.
+_IDENTIFIER = re.compile(r"(?=.*[A-Z0-9-])(?=.*[A-Za-z])[A-Za-z0-9][A-Za-z0-9.+-]*")
 
 
 @functools.lru_cache(maxsize=1)
@@ -72,53 +76,68 @@ def automaton() -> ahocorasick.Automaton:
 
 
 def label_of(identifier: str) -> str | None:
-    """Label of one licence identifier, its version and suffixes left out."""
-    name = re.sub(r"(-only|-or-later|\+)$", "", identifier.lower())
+    """Label of one licence identifier, its version and suffixes left out.
+
+    Identifiers that are not listed are labels themselves, so every one of the public list has one.
+    """
+    bare = re.sub(r"(-only|-or-later|\+)$", "", identifier)
+    name = bare.lower()
     while name:
         if name in IDENTIFIERS:
             return IDENTIFIERS[name]
         name = name.rpartition("-")[0]
-    return None
+    if not _IDENTIFIER.fullmatch(bare):
+        return None
+    return re.sub(r"-v?[0-9].*$", "", bare.lower())
 
 
 def to_postfix(expression: str) -> list[str] | None:
-    """Operands and operators in postfix order, or None if the expression is malformed.
+    """Operands and operators in postfix order, or None if no beginning is well-formed.
 
-    ``with`` binds before ``and``, ``and`` before ``or``; parentheses group. The longest
-    well-formed beginning counts where words follow that are no part of an expression.
+    ``with`` binds before ``and``, ``and`` before ``or``, for which a slash stands too;
+    parentheses group. The longest well-formed beginning counts where words follow that are no
+    part of an expression, or where it breaks off.
     """
-    output, held, operand_next, depth = [], [], True, 0
-    for token in _TOKEN.findall(expression):
+    tokens = ["or" if t == "/" else t for t in _TOKEN.findall(expression)]
+    whole = _well_formed(tokens)
+    if not whole:
+        return None
+    output, held = [], []
+    for token in tokens[:whole]:
         word = token.lower()
         if word in PRECEDENCE:
-            if operand_next:
-                return None
             while held and held[-1] != "(" and PRECEDENCE[held[-1]] >= PRECEDENCE[word]:
                 output.append(held.pop())
             held.append(word)
-            operand_next = True
         elif word == "(":
-            if not operand_next:
-                break
             held.append(word)
-            depth += 1
         elif word == ")":
-            if operand_next or not depth:
-                return None
             while held[-1] != "(":
                 output.append(held.pop())
             held.pop()
-            depth -= 1
         else:
-            if not operand_next:
-                break
             output.append(token)
-            operand_next = False
-    if operand_next or depth:
-        return None
-    while held:
-        output.append(held.pop())
-    return output
+    return output + held[::-1]
+
+
+def _well_formed(tokens: list[str]) -> int:
+    """Number of tokens of the longest beginning that is an expression."""
+    depth, operand_next, whole = 0, True, 0
+    for place, token in enumerate(tokens, 1):
+        word = token.lower()
+        if operand_next != (word == "(" or word not in PRECEDENCE and word != ")"):
+            break
+        if word == "(":
+            depth += 1
+        elif word == ")":
+            depth -= 1
+            if depth < 0:
+                break
+        else:
+            operand_next = word in PRECEDENCE
+        if not operand_next and not depth:
+            whole = place
+    return whole
 
 
 def evaluate(expression: str) -> tuple[set[str], float] | None:
@@ -149,7 +168,7 @@ def scan_text(text: str | None) -> dict:
     """Words, base places, labels and score of one text."""
     words = (text or "").encode("utf-8", "surrogatepass").translate(FOLD).split()
     joined = f" {b' '.join(words).decode('utf-8', 'surrogatepass')} "
-    base, starts, found, tagged = 0, [], set(), False
+    base, starts, notices, tagged = 0, [], [], False
     base_labels: set[str] = set()
     for end, phrase in automaton().iter(joined):
         if phrase == TAG:
@@ -159,14 +178,20 @@ def scan_text(text: str | None) -> dict:
             base_labels.add(BASE_PHRASES[phrase])
             starts.append(end - len(phrase) - 1)
         else:
+            notices.append((end - len(phrase), -end, phrase))
+    found, covered = set(), 0
+    # A notice inside a longer one is not meant by itself.
+    for _, end, phrase in sorted(notices):
+        if -end > covered:
             found.add(NOTICE_PHRASES[phrase])
+            covered = -end
     scores = []
     expressions = []
     if tagged:
         for match in _TAGGED.finditer(text):
             value = evaluate(match[1])
             if value:
-                expressions.append(match[1].strip())
+                expressions.append(_COMMENT_END.sub("", match[1]).strip())
                 found |= value[0]
                 scores.append(value[1])
     # The place of a word is the number of spaces before it.

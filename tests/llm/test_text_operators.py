@@ -154,13 +154,21 @@ def test_licence_expressions():
     assert licenses.to_postfix("MIT OR Apache-2.0 AND GPL-2.0 WITH Classpath-exception-2.0") == [
         "MIT", "Apache-2.0", "GPL-2.0", "Classpath-exception-2.0", "with", "and", "or"]
     assert licenses.to_postfix("(MIT OR Apache-2.0) AND BSD-3-Clause */") == ["MIT", "Apache-2.0", "or", "BSD-3-Clause", "and"]
-    for broken in ("", "OR MIT", "(MIT", "MIT)", "MIT AND", "()"):
+    for broken in ("", "OR MIT", "(MIT", "()", "(" * 100_000):
         assert licenses.to_postfix(broken) is None
+    for begun in ("MIT)", "MIT AND", "MIT OR (ISC", "MIT ISC", "(MIT) (ISC)", "MIT OR OR ISC"):
+        assert licenses.to_postfix(begun) == ["MIT"]
+    assert licenses.to_postfix("MIT/Apache-2.0") == ["MIT", "Apache-2.0", "or"]
     assert licenses.evaluate("MIT OR GPL-3.0-or-later") == ({"mit", "gpl"}, 1.0)
     assert licenses.evaluate("MIT AND GPL-3.0-only") == ({"mit", "gpl"}, 0.4)
-    assert licenses.evaluate("Nobody-1.0") is None
+    assert licenses.evaluate("Zlib") == ({"zlib"}, 0.5) and licenses.evaluate("0BSD") == ({"0bsd"}, 0.5)
+    assert licenses.evaluate("AFL-3.0 OR MIT") == ({"afl", "mit"}, 1.0) and licenses.evaluate("see the file") is None
     found = licenses.scan_text("// SPDX-License-Identifier: (MIT OR Apache-2.0)\ncode")
     assert found["labels"] == "apache,mit" and found["score"] == 1.0
+    assert licenses.scan_text("/* SPDX-License-Identifier: MIT/Apache-2.0 */")["expressions"] == ["MIT/Apache-2.0"]
+    # The longest of the notices at a place counts, shorter ones elsewhere too.
+    assert licenses.scan_text("licensed under CC BY-NC")["labels"] == "cc-by-nc"
+    assert licenses.scan_text("licensed under CC BY-NC, licensed under CC BY 4.0")["labels"] == "cc-by,cc-by-nc"
 
 
 def test_license_odd_rows(spark, nasty):
