@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -41,7 +42,7 @@ muy no nos o para pero por porque que se si sin sobre son su sus también tiene
 
 # Kinds of elements.
 RAW = "script|style|textarea|title"
-SKIPPED = "noscript|template|select|svg|math|iframe|object|canvas|button"
+SKIPPED = frozenset("noscript template select svg math iframe object canvas button".split())
 BLOCKS = frozenset(
     """
 address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption
@@ -70,14 +71,17 @@ WEAK_NAMES = frozenset("header masthead banner toolbar login signup form search
 # Names of marked articles that are not the page's own.
 FOREIGN = frozenset("comment comments related ad advert".split())
 
+# A value in quotes ends before the next element at the latest, so that a quote without its other
+# half costs no look at the rest of the page.
+_ATTRS = r"(?:[^>\"']|\"[^\"<]*\"|'[^'<]*')*+"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
-    rf"|<(?P<raw>{RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"
-    rf"|<(?P<skip>{SKIPPED})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?</(?P=skip)\s*>"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
+    rf"|<(?P<raw>{RAW})\b{_ATTRS}>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>{_ATTRS})>"
     r"|<(?P<close2>/?)(?P<tag2>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs2>[^>]*)>|<[!?/][^>]*>",
     re.DOTALL | re.IGNORECASE,
 )
+_SKIP_END = re.compile(rf"</({'|'.join(sorted(SKIPPED))})\s*>", re.IGNORECASE)
 _ATTR = re.compile(r"([a-zA-Z_:][\w:.-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _NAME = re.compile(r"[^a-z0-9]+")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -155,6 +159,28 @@ def _place(tag: str, attrs: str, above: Place | None, number: int = 0) -> Place:
     return Place(tag, excluded, strong, article, named, lifted)
 
 
+def _tokens(page: str) -> Iterator[tuple[re.Match, int, bool]]:
+    """Matches of markup in order, where each ends, and whether its text is skipped.
+
+    The ends of skipped elements are found once; an element without one is a tag like others.
+    """
+    ends: dict[str, list[int]] | None = None
+    at = 0
+    while match := _TOKEN.search(page, at):
+        at, skipped = match.end(), match["raw"] is not None
+        tag = (match["tag"] or match["tag2"] or "").lower()
+        if tag in SKIPPED and not (match["close"] or match["close2"]):
+            if ends is None:
+                ends = {}
+                for end in _SKIP_END.finditer(page):
+                    ends.setdefault(end[1].lower(), []).append(end.end())
+            places = ends.get(tag, [])
+            place = bisect_right(places, at)
+            if place < len(places):
+                at, skipped = places[place], True
+        yield match, at, skipped
+
+
 def blocks_of(page: str) -> list[Block]:
     """The non-empty text blocks of a page in order. Broken markup does not stop it: an end tag
     without a start is passed over, open elements end with what encloses them."""
@@ -186,10 +212,10 @@ def blocks_of(page: str) -> list[Block]:
                 block.link_chars += len(" ".join(text.split()))
 
     at = 0
-    for match in _TOKEN.finditer(page):
+    for match, end, skipped in _tokens(page):
         add(page[at : match.start()])
-        at = match.end()
-        if match["raw"] or match["skip"]:
+        at = end
+        if skipped:
             continue
         tag = match["tag"] or match["tag2"]
         if not tag:

@@ -251,6 +251,15 @@ def test_rated_rows_count_once_per_id(spark):
     assert (fitted[0].weights == fitted[1].weights).all() and (fitted[0].thresholds == fitted[1].thresholds).all()
 
 
+def test_broken_pages_end():
+    started = time.process_time()
+    body = "<article><p>" + LONG + "</p>"
+    assert LONG.strip() in pages.main_text(body + "<button>" * 100_000)
+    assert LONG.strip() in pages.main_text(body + "<p title=\"x>" * 30_000)
+    assert pages.main_text(body + "<select><option>no</select><svg><b>no</svg ><BUTTON>no</Button><p>" + LONG).count("times") == 12
+    assert time.process_time() - started < 20
+
+
 def test_repeated_ids_lose_no_group(spark):
     rng = random.Random(2)
     prose = [" ".join(f"w{rng.randrange(9_999)}" for _ in range(80)) for _ in range(4)]
