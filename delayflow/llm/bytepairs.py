@@ -65,56 +65,61 @@ def _bound(value: Column, body) -> Column:
 
 def _rank(table: Column, digits: Column) -> Column:
     """Rank of a piece, ``NO_MERGE`` if there is none."""
-    bucket = F.get(table, F.pmod(F.crc32(digits.cast("binary")), F.lit(BUCKETS)).cast("int"))
+    bucket = F.get(table, F.crc32(digits.cast("binary")).bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
     return F.coalesce(F.try_element_at(bucket, digits), F.lit(NO_MERGE))
 
 
 def fold_merges(word: Column, table: Column) -> Column:
     """Ids of the pieces of a word's bytes.
 
-    The state is the pieces and the rank of each two neighbours joined. A step joins the two
-    of least rank, the first of equals, and ranks the new piece with its neighbours. A word
-    that is a piece itself is that one.
+    The state is the edges of the pieces, as places in the word's digits, and the rank of each two
+    neighbours joined. A step takes away the edge between the two of least rank, the first of
+    equals, and ranks the new piece with its neighbours. A word that is a piece itself is
+    that one.
     """
 
-    def step(state: Column, _: Column) -> Column:
-        pieces, ranks = state["pieces"], state["ranks"]
+    def folded(digits: Column) -> Column:
+        size = (F.length(digits) / 2).cast("int")
+
+        def ranked(start: Column, end: Column) -> Column:
+            return _rank(table, F.substring(digits, start, end - start))
+
+        def step(state: Column, _: Column) -> Column:
+            edges, ranks = state["edges"], state["ranks"]
+            least = F.array_min(ranks)
 
-        def joined(at: Column) -> Column:
-            # Places count from 1.
-            def moved(new: Column) -> Column:
-                before = _rank(table, F.concat(F.get(pieces, at - 2), new))
-                after = _rank(table, F.concat(new, F.get(pieces, at + 1)))
+            def merged(at: Column) -> Column:
+                # Places count from 1, those of ``get`` from 0; piece ``at`` begins at edge ``at``.
                 none = F.array().cast("array<int>")
-                left = F.slice(pieces, 1, at - 1)
-                right = F.slice(pieces, at + 2, F.size(pieces))
+                before = ranked(F.get(edges, at - 2), F.get(edges, at + 1))
+                after = ranked(F.get(edges, at - 1), F.get(edges, at + 2))
                 return F.struct(
-                    F.concat(left, F.array(new), right).alias("pieces"),
+                    F.concat(F.slice(edges, 1, at), F.slice(edges, at + 2, F.size(edges))).alias("edges"),
                     F.concat(
                         F.slice(ranks, 1, F.greatest(at - 2, F.lit(0))),
                         F.when(at > 1, F.array(before)).otherwise(none),
                         F.when(at < F.size(ranks), F.array(after)).otherwise(none),
-                        F.slice(ranks, at + 2, F.size(pieces)),
+                        F.slice(ranks, at + 2, F.size(ranks)),
                     ).alias("ranks"),
                 )
 
-            return _bound(F.concat(F.get(pieces, at - 1), F.get(pieces, at)), moved)
-
-        def merged(least: Column) -> Column:
             place = F.array_position(ranks, least).cast("int")
-            return F.when(least < NO_MERGE, _bound(place, joined)).otherwise(state)
+            return F.when(least < NO_MERGE, _bound(place, merged)).otherwise(state)
 
-        return F.when(F.size(ranks) > 0, _bound(F.array_min(ranks), merged)).otherwise(state)
+        def ids(state: Column) -> Column:
+            edges = state["edges"]
+            rest = F.size(edges) - 1
+            return F.zip_with(F.slice(edges, 1, rest), F.slice(edges, 2, rest), ranked)
 
-    def folded(digits: Column) -> Column:
-        length = F.length(digits) / 2
-        bytes_of = F.transform(F.sequence(F.lit(1), length.cast("int")), lambda i: F.substring(digits, 2 * i - 1, F.lit(2)))
-        pairs = F.when(length > 1, F.sequence(F.lit(1), length.cast("int") - 1)).otherwise(F.array().cast("array<int>"))
-        ranks = F.transform(pairs, lambda i: _rank(table, F.substring(digits, 2 * i - 1, F.lit(4))))
-        start = F.struct(bytes_of.alias("pieces"), ranks.alias("ranks"))
-        return F.aggregate(pairs, start, step, lambda s: F.transform(s["pieces"], lambda p: _rank(table, p)))
+        starts = F.sequence(F.lit(1), 2 * size - 3, F.lit(2))
+        begin = F.struct(
+            F.sequence(F.lit(1), 2 * size + 1, F.lit(2)).alias("edges"),
+            F.transform(starts, lambda i: _rank(table, F.substring(digits, i, F.lit(4)))).alias("ranks"),
+        )
+        return F.aggregate(F.sequence(F.lit(2), size), begin, step, ids)
 
     def encoded(digits: Column) -> Column:
+        # A single byte is always a piece, so that what is folded has two at least.
         return _bound(
             _rank(table, digits), lambda own: F.when(own < NO_MERGE, F.array(own)).otherwise(folded(digits))
         )
