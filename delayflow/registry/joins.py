@@ -32,12 +32,12 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "correlate_request_response",
     """SELECT r.*, p.Prediction, p.answered, CASE WHEN p.UUID IS NULL THEN 'WAIT' ELSE 'OK' END AS status
-    FROM requests r LEFT JOIN (SELECT UUID, arg_min(Prediction, "Timestamp") AS Prediction,
-      min("Timestamp") AS answered FROM responses GROUP BY UUID) p ON r.UUID = p.UUID""",
+    FROM requests r LEFT JOIN (SELECT UUID, arg_min(Prediction, answered) AS Prediction,
+      min(answered) AS answered FROM answers GROUP BY UUID) p ON r.UUID = p.UUID""",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    responses = view(spark, sf_dir, "responses").withColumnRenamed("Timestamp", "answered")
-    return J.correlate_request_response(view(spark, sf_dir, "requests"), responses, "answered")
+    requests, answers = view(spark, sf_dir, "requests"), view(spark, sf_dir, "answers")
+    return J.correlate_request_response(requests, answers, "answered")
 
 
 @query(

@@ -36,11 +36,18 @@ _ROUTED = "SELECT *, Origin || '-' || Dest AS Route FROM features"
 def _rank(column: str) -> str:
     return f"""{column}_rank AS (SELECT {column},
       CAST(row_number() OVER (ORDER BY count(*) DESC, {column}) - 1 AS DOUBLE) AS {column}_index
-      FROM routed GROUP BY {column})"""
+      FROM routed WHERE {column} IS NOT NULL GROUP BY {column})"""
+
+
+def _index(column: str) -> str:
+    """The rank of a value; that after the last for a missing one."""
+    return f"""coalesce({column}_rank.{column}_index,
+      (SELECT CAST(count(*) AS DOUBLE) FROM {column}_rank)) AS {column}_index"""
 
 
 _INDEXED = f"""WITH routed AS ({_ROUTED}), {", ".join(_rank(c) for c in CATEGORY_COLUMNS)},
-  indexed AS (SELECT * FROM routed {" ".join(f"JOIN {c}_rank USING ({c})" for c in CATEGORY_COLUMNS)})
+  indexed AS (SELECT routed.*, {", ".join(map(_index, CATEGORY_COLUMNS))} FROM routed
+    {" ".join(f"LEFT JOIN {c}_rank ON routed.{c} = {c}_rank.{c}" for c in CATEGORY_COLUMNS)})
   """
 
 

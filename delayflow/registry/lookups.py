@@ -55,12 +55,13 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "lookup_status_clustered",
     """SELECT id, CASE WHEN count(Prediction) > 0 THEN 'OK' ELSE 'WAIT' END AS status,
-    arg_min(Prediction, "Timestamp") AS Prediction
-    FROM (SELECT '0' AS id UNION ALL SELECT '33') LEFT JOIN responses ON UUID = id GROUP BY id""",
+    arg_min(Prediction, answered) AS Prediction
+    FROM (SELECT '0' AS id UNION ALL SELECT '33') LEFT JOIN answers ON UUID = id GROUP BY id""",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = _clustered(spark, sf_dir, "responses", ["Timestamp"], ["UUID"])
-    return L.lookup_prediction_status(table, "0").unionByName(L.lookup_prediction_status(table, "33"))
+    table = _clustered(spark, sf_dir, "answers", ["answered"], ["UUID"])
+    found = [L.lookup_prediction_status(table, uuid, "answered") for uuid in ("0", "33")]
+    return found[0].unionByName(found[1])
 
 
 @query(
@@ -164,13 +165,13 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "lookup_prediction_status",
     """SELECT id, CASE WHEN count(Prediction) > 0 THEN 'OK' ELSE 'WAIT' END AS status,
-    arg_min(Prediction, "Timestamp") AS Prediction
-    FROM (SELECT '0' AS id UNION ALL SELECT '1') LEFT JOIN responses ON UUID = id GROUP BY id""",
+    arg_min(Prediction, answered) AS Prediction
+    FROM (SELECT '0' AS id UNION ALL SELECT '1') LEFT JOIN answers ON UUID = id GROUP BY id""",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    responses = view(spark, sf_dir, "responses")
-    waiting = L.lookup_prediction_status(responses, "0")
-    return waiting.unionByName(L.lookup_prediction_status(responses, "1"))
+    answers = view(spark, sf_dir, "answers")
+    waiting = L.lookup_prediction_status(answers, "0", "answered")
+    return waiting.unionByName(L.lookup_prediction_status(answers, "1", "answered"))
 
 
 @query("list_carriers", "SELECT DISTINCT Carrier FROM flights")

@@ -85,11 +85,16 @@ SELECT CAST(event_id AS STRING) AS UUID,
 FROM {events}
 """,
     "responses": """
+SELECT CAST(event_id AS STRING) AS UUID, CAST(event_id % 4 AS DOUBLE) AS Prediction
+FROM {events} WHERE event_type <> 'error'
+""",
+    # Responses with their times; a third of the requests gets another one much later.
+    "answers": """
 SELECT CAST(event_id AS STRING) AS UUID, CAST(event_id % 4 AS DOUBLE) AS Prediction,
-  replace(substr(CAST(ts AS STRING), 1, 17), ' ', 'T') || '59' AS `Timestamp`
+  replace(substr(CAST(ts AS STRING), 1, 17), ' ', 'T') || '59' AS answered
 FROM {events} WHERE event_type <> 'error'
 UNION ALL
-SELECT CAST(event_id AS STRING) AS UUID, CAST(0 AS DOUBLE) AS Prediction, '2999-01-01T00:00:00' AS `Timestamp`
+SELECT CAST(event_id AS STRING) AS UUID, CAST(0 AS DOUBLE) AS Prediction, '2999-01-01T00:00:00' AS answered
 FROM {events} WHERE event_type <> 'error' AND event_id % 3 = 0
 """,
     "scored": """
