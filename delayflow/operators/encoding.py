@@ -26,6 +26,7 @@ from delayflow.operators.learning import (
     TREE_MEMORY_MB,
     bucketize_arrival_delay,
     split_rows,
+    spread_rows,
 )
 from delayflow.operators.projection import derive_route
 from delayflow.operators.summaries import accuracy
@@ -142,7 +143,7 @@ def train_encoded_forest(df: DataFrame, path: str, seed: int = 27) -> EncodedFor
     forest = RandomForestClassifier(
         featuresCol=FEATURES_COLUMN, labelCol=LABEL_COLUMN, predictionCol=PREDICTION_COLUMN,
         maxMemoryInMB=TREE_MEMORY_MB, seed=seed,
-    ).fit(assembler.transform(rows).select(FEATURES_COLUMN, LABEL_COLUMN))
+    ).fit(assembler.transform(spread_rows(rows, [*inputs, LABEL_COLUMN])).select(FEATURES_COLUMN, LABEL_COLUMN))
     return EncodedForest(encoding, PipelineModel([assembler, forest]))
 
 

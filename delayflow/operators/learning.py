@@ -17,7 +17,7 @@ from delayflow.operators.projection import derive_route, drop_rename_columns
 from delayflow.operators.summaries import accuracy
 from delayflow.schemas import CATEGORY_COLUMNS, INDEX_FEATURES, NUMERIC_FEATURES
 from delayflow.sources.writers import daily_partition_overwrite
-from delayflow.workspace import materialize
+from delayflow.workspace import materialize, width_for
 
 # --- Fixed values: names and parameters of the model. ---
 ARRIVAL_SPLITS = (-15.0, 0.0, 30.0)
@@ -38,6 +38,9 @@ MAX_CATEGORIES = 100_000
 
 HASHED_FEATURES = 1 << 14
 
+# Rows that one task of a forest's fit holds; the fit keeps some 220 bytes of each.
+FIT_ROWS = 500_000
+
 SPLIT_PARTS = 10_000
 
 
@@ -159,6 +162,19 @@ def assemble_features(df: DataFrame, handle_invalid: str = "error") -> DataFrame
     return feature_assembler(handle_invalid).transform(df)
 
 
+def spread_rows(df: DataFrame, columns: Sequence[str], most: int = FIT_ROWS) -> DataFrame:
+    """The columns a fit needs, in as many partitions as keep each at about ``most`` rows.
+
+    A fit keeps its rows and reads them whole on every level, partition by partition; those
+    of a scan follow its files, not its rows. Rows are dealt in turn, so equal ones are spread too.
+    """
+    needed = df.select(*columns)
+    rows = needed.count()
+    if rows <= most:
+        return needed
+    return needed.repartition(width_for(df.sparkSession, rows, most))
+
+
 def train_random_forest(df: DataFrame, seed: int = 27, max_bins: int | None = None) -> PipelineModel:
     """Fit indexer and forest on feature rows; gives one model for requests with a route.
 
@@ -169,7 +185,8 @@ def train_random_forest(df: DataFrame, seed: int = 27, max_bins: int | None = No
     indexer = fit_indexer(labelled)
     if max_bins is None:
         max_bins = max(DEFAULT_BINS, *[len(stage.labels) + 1 for stage in indexer.stages])
-    vectors = assemble_features(indexer.transform(labelled)).select(FEATURES_COLUMN, LABEL_COLUMN)
+    spread = spread_rows(labelled, [*NUMERIC_FEATURES, *CATEGORY_COLUMNS, LABEL_COLUMN])
+    vectors = assemble_features(indexer.transform(spread)).select(FEATURES_COLUMN, LABEL_COLUMN)
     forest = RandomForestClassifier(
         featuresCol=FEATURES_COLUMN,
         labelCol=LABEL_COLUMN,

@@ -165,3 +165,19 @@ def test_regression_is_better_than_the_mean(facts):
 def test_route_of_requests(spark):
     df = spark.createDataFrame([("A", "B")], "Origin string, Dest string")
     assert derive_route(df).first()["Route"] == "A-B"
+
+
+def test_a_fit_spreads_rows_that_came_in_one_partition(spark, facts, monkeypatch):
+    # Equal rows too: no task of a fit holds more than its share.
+    one = facts.limit(1).crossJoin(spark.range(0, 2000, 1, 1)).drop("id")
+    spread = M.spread_rows(one.coalesce(1), one.columns, 100)
+    sizes = spread.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count")).first()
+    assert sizes[0] <= 120 and sizes[1] == 2000
+    assert M.spread_rows(facts, ["DepDelay"], 10**9).rdd.getNumPartitions() == facts.rdd.getNumPartitions()
+    seen = []
+    forest = M.RandomForestClassifier.fit
+    monkeypatch.setattr(M.RandomForestClassifier, "fit", lambda f, df: seen.append(df) or forest(f, df))
+    monkeypatch.setattr(M.spread_rows, "__defaults__", (50,))
+    total = facts.count()
+    M.train_random_forest(facts.coalesce(1))
+    assert seen[0].count() == total and seen[0].rdd.getNumPartitions() == -(-total // 50)
