@@ -12,6 +12,7 @@ from delayflow.operators import lookups as L
 from delayflow.operators import ordering as O
 from delayflow.operators import projection as P
 from delayflow.operators import summaries as S
+from delayflow.registry.projections import copies_of
 from delayflow.registry.tables import flights, view
 from delayflow.workspace import folders, materialize, session_folder
 from tests.conftest import rows
@@ -259,3 +260,16 @@ def test_requests_without_a_day_are_found_by_their_text(spark):
     ).withColumn("iso_date", F.col("iso_date").cast("date"))
     assert L.requests_in_day(tasks, "2024-01-15").count() == 2
     assert L.requests_in_day(tasks.drop("iso_date"), "2024-01-15").count() == 2
+
+
+def test_copies_in_a_table_and_its_samples(spark):
+    whole = spark.createDataFrame([(1, None), (1, None), (2, "b"), (None, "c")], "a int, b string")
+    one = spark.createDataFrame([(1, None), (2, "b"), (2, "b")], "a int, b string")
+    other = spark.createDataFrame([(9, "z")], "a int, b string")
+    copies = copies_of(whole, {"one": one, "other": other}, 3)
+    assert rows(copies) == sorted(
+        [(1, None, 2, 1, 0), (2, "b", 1, 2, 0), (None, "c", 1, 0, 0), (9, "z", 0, 0, 1)], key=str
+    )
+    # One shuffle, whose width follows the rows.
+    text = copies._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 1 and "3), REPARTITION_BY_NUM" in text
