@@ -69,14 +69,15 @@ def repartition_cache(df: DataFrame, partitions: int | None = None) -> DataFrame
 def job_extract(spark: SparkSession, base: str, fraction: float | None = None) -> str:
     """Raw facts to sorted feature records; gives the path written.
 
-    All facts are used, unless the caller asks for a sample of them by its ``fraction``.
+    All facts are used, unless the caller asks for a sample of them by its ``fraction``. The records
+    are compressed, as their text is several times the facts.
     """
     projected = project_features(scan_parquet(spark, f"{base}/{FACTS}"))
     if fraction is not None:
         projected = sample_bernoulli(projected, fraction, TRAINING_SEED)
     rows = extract_features(filter_not_null_delays(projected))
     target = f"{base}/{FEATURES}"
-    write_json_single(rows, target, full_order(rows, FEATURE_ORDER))
+    write_json_single(rows, target, full_order(rows, FEATURE_ORDER), compression="gzip")
     return target
 
 

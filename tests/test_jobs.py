@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from delayflow.operators import learning as M
 from delayflow.plans import jobs as B
+from delayflow.registry import QUERIES
+from delayflow.registry import jobs as registered
 from delayflow.registry.streams import finish, request_lines
 from delayflow.registry.tables import distances, enriched, features, flights, view
 from delayflow.sources.readers import scan_json_schema
@@ -61,6 +63,25 @@ def test_train_then_daily_and_stream_prediction(spark, sf_dir):
     assert spark.read.text(f"{base}/responses").count() == enriched(spark, sf_dir).count()
 
 
+def test_extract_compresses_its_records(spark, sf_dir):
+    base = new_path(spark, "base")
+    flights(spark, sf_dir).write.parquet(f"{base}/{B.FACTS}")
+    files = spark.read.text(B.job_extract(spark, base)).inputFiles()
+    assert files and all(f.endswith(".json.gz") for f in files)
+
+
+def test_a_sample_is_sought_among_its_likes_alone(spark, sf_dir, monkeypatch):
+    # The rows of the table are not shuffled to find what a handful is like, nor made a second time.
+    made = []
+    monkeypatch.setattr(registered, "features", lambda *a: made.append(a) or features(*a))
+    asked = []
+    monkeypatch.setattr(registered, "majority", lambda df: asked.append(df.columns) or 0.0)
+    found = rows(QUERIES["job_train"](spark, sf_dir))
+    total = features(spark, sf_dir).count()
+    assert found == [("accuracy above majority", 1), ("predicted rows", total), ("sampled rows foreign to the table", 0)]
+    assert len(made) == 1 and "ArrDelay" in asked[0]
+
+
 def test_cache_shuffles_only_if_it_is_asked_to(spark):
     few, many = spark.range(0, 100, 1, 2), spark.range(0, 100, 1, 50)
     for df, given, expected in ((few, None, 2), (many, None, 50), (many, 5, 5)):
