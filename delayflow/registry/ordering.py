@@ -11,7 +11,7 @@ from delayflow.operators import ordering as O
 from delayflow.operators.summaries import flights_by_month, route_avg_distance
 from delayflow.registry import query
 from delayflow.registry.lookups import PAGE, ordered
-from delayflow.registry.tables import comparable, features, flights, view
+from delayflow.registry.tables import comparable, features, flights, stored_flights, view
 
 
 @query("sort_features", "SELECT * FROM features")
@@ -74,9 +74,9 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("page_after", f"SELECT * FROM flights ORDER BY {PAGE} LIMIT 15 OFFSET 45")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Three pages of 15 and the one behind them, each from where the last one ended.
-    cursor = None
+    whole, cursor = stored_flights(spark, sf_dir), None
     for _ in range(4):
-        page, cursor = O.page_after(flights(spark, sf_dir), O.PAGE_ORDER, cursor)
+        page, cursor = O.page_after(whole, O.PAGE_ORDER, cursor)
     return page
 
 
@@ -87,7 +87,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     ORDER BY {PAGE} LIMIT 15""",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    whole = flights(spark, sf_dir)
+    whole = stored_flights(spark, sf_dir)
     first, last_day = F.min("FlightDate"), F.max("FlightDate")
     middle = whole.agg(F.date_add(first, F.floor(F.datediff(last_day, first) / 2).cast("int"))).first()[0]
     middle = whole.filter(F.col("FlightDate") <= F.lit(middle)).agg(F.max("FlightDate")).first()[0]

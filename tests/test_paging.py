@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 
 from delayflow.operators import lookups as L
 from delayflow.operators import ordering as O
+from delayflow.registry import QUERIES, ordering, tables
 from delayflow.sources.writers import write_clustered
 from delayflow.workspace import folders, session_folder
+from tests.conftest import SF_DIR
+
+flights_of = tables.flights
 
 COLUMNS = "FlightDate date, DepTime string, Carrier string, FlightNum string, Origin string"
 
@@ -91,3 +95,13 @@ def test_a_page_and_its_total_read_the_table_once(spark, flights, tmp_path):
     beyond = L.search_page(table, start=1_000_000, Carrier="AA").first()
     assert beyond["total"] == total and beyond["flights"] == []
     assert L.search_page(table, Carrier="none").first()["total"] == 0
+
+
+@pytest.mark.parametrize("key", ["page_after", "page_after_deep"])
+def test_pages_in_turn_read_flights_that_are_joined_once(spark, key, tmp_path, monkeypatch):
+    made = []
+    monkeypatch.setattr(tables, "flights", lambda *a: made.append(a) or flights_of(*a))
+    monkeypatch.setattr(ordering, "flights", tables.flights)
+    monkeypatch.setattr(tables, "_stored", {})
+    assert QUERIES[key](spark, SF_DIR).count() == 15
+    assert len(made) == 1
