@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from delayflow.operators import rollups as R
 from delayflow.operators import summaries as S
-from tests.conftest import rows
+from delayflow.registry import summaries as registered
+from tests.conftest import SF_DIR, rows
 
 COLUMNS = "Year int, Month int, Carrier string, TailNum string, FlightDate string, FlightNum string, Origin string, Dest string"
 
@@ -33,3 +34,12 @@ def test_three_loads_equal_a_full_recompute(spark, tmp_path):
     # A summary reads partials alone.
     assert all("/partials/" in f for f in R.months_so_far(spark, path).inputFiles())
     assert spark.read.parquet(f"{path}/months").agg(F.sum(R.ROWS)).first()[0] == 65
+
+
+def test_loads_read_flights_that_are_joined_once(spark, monkeypatch):
+    # Four loads, of a table that is stored: none of them has the joins in its plan.
+    plans = []
+    monkeypatch.setattr(registered.R, "merge_day", lambda df, *a: plans.append(df._jdf.queryExecution().toString()))
+    monkeypatch.setattr(registered, "stored_path", lambda s, d, n, write: write("unused"))
+    registered._loaded(spark, SF_DIR)
+    assert len(plans) == 4 and not any("Join" in p for p in plans)
