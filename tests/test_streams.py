@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from delayflow.registry import streams as registered
 from delayflow.registry.streams import finish
+from delayflow.session import state_session
 from delayflow.streaming import sinks as K
 from delayflow.streaming import sources as S
 from delayflow.streaming import transforms as X
@@ -181,6 +182,25 @@ def test_correlation_takes_the_first_response_in_time(topic):
     ]
 
 
+def test_state_is_logged_and_not_counted(topic):
+    session = state_session(topic.spark, 2)
+    topic.send(request("1"), request("2"), request("last", Timestamp="2024-01-01T01:00:00"))
+    answers = topic.folder / "answers"
+    answers.mkdir()
+    said = [{"UUID": "1", "Timestamp": "2024-01-01T00:01:00"}, {"UUID": "-", "Timestamp": "2024-01-01T01:00:00"}]
+    (answers / "a.json").write_text("\n".join(map(json.dumps, said)))
+    arriving = session.readStream.schema("UUID string, Timestamp timestamp").json(str(answers))
+    requests = X.stream_parse_requests(S.stream_earliest(session, str(topic.input)))
+    pairs = X.stream_correlate(requests, arriving).select("UUID", "status")
+    running = finish(K.stream_append_mode(pairs, topic.path("o"), topic.path("c"), trigger=K.DRAIN))
+    assert rows(topic.spark.read.json(topic.path("o"))) == [("1", "OK"), ("2", "WAIT")]
+    # Batches leave their changes in the checkpoint instead of copies of all state.
+    assert list((topic.folder / "c" / "state").rglob("1.changelog"))
+    assert not list((topic.folder / "c" / "state").rglob("*.zip"))
+    counted = [o["numRowsTotal"] for p in running.recentProgress for o in p["stateOperators"]]
+    assert counted and not any(counted)
+
+
 def test_requests_of_the_fixture_are_all_parsed(spark, sf_dir):
     folder = registered.request_lines(spark, sf_dir)
     assert spark.read.text(folder).count() == spark.read.parquet(f"{sf_dir}/events.parquet").count()
