@@ -1,17 +1,15 @@
 """Byte-level byte-pair encoding with the ranks of a given vocabulary, and decoding.
 
-Merges are folded by Spark's higher-order functions over the bytes of distinct words, with the
-ranks as one literal; decoding puts the pieces of ids one after the other. Words that are frequent in the whole table are folded once and copied to
-the tasks, a number with a bound; the others are folded once per block of documents. So no row of
-the table is shuffled, and no copied data grows with it.
+The distinct words of a block of documents are merged together, each step the same for all of them,
+in arrays of numbers of pieces. Words that are frequent in the whole table, counted by Spark, are
+merged once and copied to the tasks, a number with a bound; the others once per block. So no row of the
+table is shuffled, no copied data grows with it, and Spark holds documents one by one.
 """
 
 from __future__ import annotations
 
 import base64
 import heapq
-import json
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,16 +24,19 @@ from pyspark.sql import types as T
 from delayflow.llm.arrow import fresh_name, slices
 from delayflow.workspace import materialize
 
-# The ranks as a literal: an array of small maps, found by the checksum of a piece.
-BUCKETS = 1 << 16
+# Rank of what is no piece.
 NO_MERGE = (1 << 31) - 1
-# Bytes of the longest word whose merges are folded; each merge copies what is left of it.
+# Bytes of the longest word that is merged with others; each step goes over what is left of it.
 # Longer ones, runs of one kind of character, are merged from a heap, with equal results.
 FOLD_BYTES = 256
+# Bytes of the words that are merged together; a step's arrays hold some tens of bytes for each.
+MERGED_BYTES = 1 << 19
 # Words that are copied to all tasks, at most, and text in a block of documents.
 FREQUENT_WORDS = 1 << 20
-BLOCK_BYTES = 8 * 1024 * 1024
+BLOCK_BYTES = 1024 * 1024
 BLOCK_ROWS = 50_000
+# Text whose words are objects of Python at once.
+CUT_BYTES = 1 << 18
 OUT_ROWS = 500
 
 # White space, which is ASCII alone in Java's classes unless it is written out.
@@ -48,87 +49,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
 
 
-def rank_literal(ranks: dict[bytes, int]) -> Column:
-    """The ranks by bucket; pieces are written in hexadecimal digits. Spark folds it to a constant."""
-    buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
-    for piece, rank in ranks.items():
-        digits = piece.hex().upper()
-        buckets[zlib.crc32(digits.encode()) % BUCKETS][digits] = rank
-    text = json.dumps([b or None for b in buckets], separators=(",", ":"))
-    return F.from_json(F.lit(text), "array<map<string,int>>")
-
-
-def _bound(value: Column, body) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.transform(F.array(value), body)[0]
-
-
-def _rank(table: Column, digits: Column) -> Column:
-    """Rank of a piece, ``NO_MERGE`` if there is none."""
-    bucket = F.get(table, F.crc32(digits.cast("binary")).bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
-    return F.coalesce(F.try_element_at(bucket, digits), F.lit(NO_MERGE))
-
-
-def fold_merges(word: Column, table: Column) -> Column:
-    """Ids of the pieces of a word's bytes.
-
-    The state is the edges of the pieces, as places in the word's digits, and the rank of each two
-    neighbours joined. A step takes away the edge between the two of least rank, the first of
-    equals, and ranks the new piece with its neighbours. A word that is a piece itself is
-    that one.
-    """
-
-    def folded(digits: Column) -> Column:
-        size = (F.length(digits) / 2).cast("int")
-
-        def ranked(start: Column, end: Column) -> Column:
-            return _rank(table, F.substring(digits, start, end - start))
-
-        def step(state: Column, _: Column) -> Column:
-            edges, ranks = state["edges"], state["ranks"]
-            least = F.array_min(ranks)
-
-            def merged(at: Column) -> Column:
-                # Places count from 1, those of ``get`` from 0; piece ``at`` begins at edge ``at``.
-                none = F.array().cast("array<int>")
-                before = ranked(F.get(edges, at - 2), F.get(edges, at + 1))
-                after = ranked(F.get(edges, at - 1), F.get(edges, at + 2))
-                return F.struct(
-                    F.concat(F.slice(edges, 1, at), F.slice(edges, at + 2, F.size(edges))).alias("edges"),
-                    F.concat(
-                        F.slice(ranks, 1, F.greatest(at - 2, F.lit(0))),
-                        F.when(at > 1, F.array(before)).otherwise(none),
-                        F.when(at < F.size(ranks), F.array(after)).otherwise(none),
-                        F.slice(ranks, at + 2, F.size(ranks)),
-                    ).alias("ranks"),
-                )
-
-            place = F.array_position(ranks, least).cast("int")
-            return F.when(least < NO_MERGE, _bound(place, merged)).otherwise(state)
-
-        def ids(state: Column) -> Column:
-            edges = state["edges"]
-            rest = F.size(edges) - 1
-            return F.zip_with(F.slice(edges, 1, rest), F.slice(edges, 2, rest), ranked)
-
-        starts = F.sequence(F.lit(1), 2 * size - 3, F.lit(2))
-        begin = F.struct(
-            F.sequence(F.lit(1), 2 * size + 1, F.lit(2)).alias("edges"),
-            F.transform(starts, lambda i: _rank(table, F.substring(digits, i, F.lit(4)))).alias("ranks"),
-        )
-        return F.aggregate(F.sequence(F.lit(2), size), begin, step, ids)
-
-    def encoded(digits: Column) -> Column:
-        # A single byte is always a piece, so that what is folded has two at least.
-        return _bound(
-            _rank(table, digits), lambda own: F.when(own < NO_MERGE, F.array(own)).otherwise(folded(digits))
-        )
-
-    return _bound(F.hex(word), encoded)
-
-
 def heap_merges(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """What ``fold_merges`` gives, in time that grows with the logarithm of the length."""
+    """Ids of the pieces of a word, in time that grows with the logarithm of the length."""
     if word in ranks:
         return [ranks[word]]
     pieces: list[bytes | None] = [word[i : i + 1] for i in range(len(word))]
@@ -153,6 +75,86 @@ def heap_merges(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in pieces if p is not None]
 
 
+def _begins(owner: np.ndarray) -> np.ndarray:
+    """Whether each place is the first of those with its owner."""
+    return np.concatenate([[True], owner[1:] != owner[:-1]])[: len(owner)]
+
+
+class Merges:
+    """Ids of the pieces of many words at once.
+
+    What two neighbouring pieces join to is found by their numbers: a piece of several bytes is
+    entered for each way to cut it into two pieces.
+    """
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        self.ranks = ranks
+        number = {piece: i for i, piece in enumerate(ranks)}
+        # The last number is that of no piece.
+        self.none = len(number)
+        self.ids = np.array([*ranks.values(), NO_MERGE], np.int64)
+        self.single = np.array([number[bytes([b])] for b in range(256)], np.int64)
+        pairs, whole = [np.iinfo(np.int64).max], [self.none]
+        for piece, i in number.items():
+            for cut in range(1, len(piece)):
+                first, second = number.get(piece[:cut]), number.get(piece[cut:])
+                if first is not None and second is not None:
+                    pairs.append(first * self.none + second)
+                    whole.append(i)
+        order = np.argsort(pairs)
+        self.pairs, self.whole = np.array(pairs, np.int64)[order], np.array(whole, np.int64)[order]
+
+    def _joined(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        wanted = first * self.none + second
+        at = np.searchsorted(self.pairs, wanted)
+        return np.where(self.pairs[at] == wanted, self.whole[at], self.none)
+
+    def _folded(self, owner: np.ndarray, parts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Owners and ids of the pieces of words, given by bytes, as they come to their end.
+
+        A step joins, in each word, the two neighbours whose joined piece has the least rank, the first of equals.
+        """
+        both = np.full(len(parts), self.none)
+        left = np.flatnonzero(owner[1:] == owner[:-1])
+        both[left] = self._joined(parts[left], parts[left + 1])
+        while len(parts):
+            rank = self.ids[both]
+            starts = np.flatnonzero(_begins(owner))
+            least = np.repeat(np.minimum.reduceat(rank, starts), np.diff(starts, append=len(parts)))
+            kept = least < NO_MERGE
+            yield owner[~kept], self.ids[parts[~kept]]
+            found = np.flatnonzero(kept & (rank == least))
+            at = found[_begins(owner[found])]
+            parts[at] = both[at]
+            kept[at + 1] = False
+            place = np.cumsum(kept)[at] - 1
+            owner, parts, both = owner[kept], parts[kept], both[kept]
+            both[place] = self.none
+            for left in (place, place - 1):
+                left = left[(left >= 0) & (left + 1 < len(parts))]
+                left = left[owner[left] == owner[left + 1]]
+                both[left] = self._joined(parts[left], parts[left + 1])
+
+    def of_words(self, words: pa.Array) -> pa.ListArray:
+        """The ids of each word; a word that is a piece itself is that one."""
+        raw = words.cast(pa.binary()).to_pylist()
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+        own = np.fromiter((self.ranks.get(w, NO_MERGE) for w in raw), np.int64, len(raw))
+        lone = np.flatnonzero(own < NO_MERGE)
+        some = np.flatnonzero((own == NO_MERGE) & (sizes <= FOLD_BYTES))
+        found = [(lone, own[lone])]
+        for i in np.flatnonzero((own == NO_MERGE) & (sizes > FOLD_BYTES)).tolist():
+            ids = np.array(heap_merges(raw[i], self.ranks), np.int64)
+            found.append((np.full(len(ids), i), ids))
+        for group in np.split(some, np.flatnonzero(np.diff(np.cumsum(sizes[some]) // MERGED_BYTES)) + 1):
+            data = np.frombuffer(b"".join([raw[i] for i in group.tolist()]), np.uint8)
+            found += self._folded(np.repeat(group, sizes[group]), self.single[data])
+        owner = np.concatenate([o for o, _ in found])
+        ids = np.concatenate([i for _, i in found])[np.argsort(owner, kind="stable")]
+        ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(raw)))])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
+
+
 def java_pattern(pattern: str) -> str:
     """The same pattern for Java, where no class of white space is within another one but as ``\\s``."""
     out, inside = [], False
@@ -169,7 +171,7 @@ def java_pattern(pattern: str) -> str:
 def words_of(text: Column, pattern: str) -> Column:
     """Matches of the pattern in a text; NULL if it has characters that this Java does not know.
 
-    Those may be letters to others, so such texts are cut by the pattern's own library.
+    Those may be letters to the pattern's own library, which cuts the texts that are encoded.
     """
     found = F.regexp_extract_all(text, F.lit(java_pattern(pattern)), F.lit(0))
     return F.when(~text.rlike(r"\p{Cn}"), found)
@@ -180,7 +182,7 @@ def frequent_words(docs: DataFrame, text_col: str, pattern: str, most: int) -> D
 
     All words are counted, before the shuffle too. A histogram of the counts, of some hundreds of
     rows, tells from which count on there are few enough. It decides only where a word is
-    folded, never its ids.
+    merged, never its ids.
     """
     found = docs.select(F.explode(words_of(F.col(f"`{text_col}`"), pattern)).alias("word"))
     short = found.filter(F.octet_length("word") <= FOLD_BYTES)
@@ -196,15 +198,11 @@ def frequent_words(docs: DataFrame, text_col: str, pattern: str, most: int) -> D
     return stored.filter(F.col("level") >= least).select("word")
 
 
-def _filled(words: pa.ListArray, texts: pa.Array, matches) -> pa.ListArray:
-    """Words of each text, those that are NULL found by ``matches``."""
-    if not words.null_count:
-        return words
-    pieces, done = [], 0
-    for row in np.flatnonzero(np.asarray(words.is_null())).tolist():
-        pieces += [words.slice(done, row - done), pa.array([matches(texts[row].as_py())], words.type)]
-        done = row + 1
-    return pa.concat_arrays([*pieces, words.slice(done)])
+def _cut(texts: pa.Array, matches) -> pa.ListArray:
+    """Words of each text, none of NULL; those of few texts at a time are objects of Python."""
+    few = slices(iter([pa.RecordBatch.from_arrays([texts], names=["text"])]), size=CUT_BYTES)
+    lists = ([matches(t or "") for t in batch.column(0).to_pylist()] for batch in few)
+    return pa.concat_arrays([pa.array(words, pa.list_(pa.string())) for words in lists])
 
 
 class Lexicon:
@@ -257,83 +255,54 @@ def encode(
     single = set(range(256)) - {p[0] for p in ranks if len(p) == 1}
     if single:
         raise ValueError(f"bytes without rank: {sorted(single)}")
-    table = rank_literal(ranks)
+    merges = spark.sparkContext.broadcast(Merges(ranks))
+    numbers = T.ArrayType(T.IntegerType())
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, BLOCK_ROWS, block_bytes):
+            words = batch.column(0)
+            yield pa.RecordBatch.from_arrays([words, merges.value.of_words(words)], names=["word", "ids"])
+
     head = frequent_words(docs, text_col, pattern, most)
-    folded = head.select("word", _bound(table, lambda t: fold_merges(F.col("word").cast("binary"), t)).alias("ids"))
     # The bound on words, and that on the bytes of each, bound what is copied to the tasks.
-    known = folded.toArrow().combine_chunks()
+    known = head.mapInArrow(merged, T.StructType([head.schema["word"], T.StructField("ids", numbers)])).toArrow()
     lexicon = spark.sparkContext.broadcast(Lexicon(_whole(known["word"])))
     frequent = spark.sparkContext.broadcast(_whole(known["ids"]))
-    head_size = known.num_rows
-    everything = spark.sparkContext.broadcast(ranks)
-    pieces_of = spark.sparkContext.broadcast(_pieces(ranks))
+    pieces_of = spark.sparkContext.broadcast(_pieces(ranks) if decoded_col else [])
 
     name = fresh_name(docs, out_col)
     bytes_names = [fresh_name(docs, c) for c in (decoded_col, packed_col) if c]
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), words_of(text, pattern).alias("words"))
+    # Words go along with no row: with them a batch on its way to Python would be thrice as large.
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     place = docs.columns.index(text_col)
-    numbers = T.ArrayType(T.IntegerType())
-    block = T.StructType(
-        [
-            T.StructField("rows", T.ArrayType(row.schema["row"].dataType)),
-            T.StructField("places", T.ArrayType(numbers)),
-            T.StructField("rare", T.ArrayType(T.StringType())),
-        ]
-    )
-
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matches = regex.compile(pattern).findall
-        for batch in slices(batches, BLOCK_ROWS, block_bytes):
-            words = _filled(batch.column(1), batch.column(0).field(place), matches)
-            coded = words.flatten().dictionary_encode()
-            # A word's number is its place among the frequent ones, or behind them among the rare.
-            number = lexicon.value.places(coded.dictionary)
-            absent = number < 0
-            number[absent] = head_size + np.arange(absent.sum(), dtype=np.int32)
-            values = number[np.asarray(coded.indices)] if len(number) else np.empty(0, np.int32)
-            ends = np.concatenate([[0], np.cumsum(np.asarray(words.value_lengths()))]).astype(np.int32)
-            rare = coded.dictionary.filter(pa.array(absent))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column(0)),
-                    pa.ListArray.from_arrays(
-                        pa.array([0, batch.num_rows], pa.int32()), pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
-                    ),
-                    pa.ListArray.from_arrays(pa.array([0, len(rare)], pa.int32()), rare),
-                ],
-                names=block.names,
-            )
-
-    ids = _bound(
-        table,
-        lambda t: F.transform(
-            "rare", lambda w: F.when(F.octet_length(w) <= FOLD_BYTES, fold_merges(w.cast("binary"), t))
-        ),
-    )
-    blocks = row.mapInArrow(split, block).withColumn("folded", ids)
     given = [T.StructField(n, T.BinaryType()) for n in bytes_names]
     schema = T.StructType([row.schema["row"], T.StructField(name, numbers), *given])
 
-    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common = frequent.value
-        texts = pa.array(pieces_of.value if decoded_col else [], pa.binary())
-        for batch in batches:
-            for i in range(batch.num_rows):
-                rows, places, rare, merged = (batch.column(c).slice(i, 1).flatten() for c in range(4))
-                if merged.null_count:
-                    merged = _filled(merged, rare, lambda w: heap_merges(w.encode(), everything.value))
-                at = places.flatten()
-                taken = pa.concat_arrays([common, merged.cast(common.type)]).take(at)
-                ends = np.concatenate([[0], np.cumsum(np.asarray(taken.value_lengths()))])
-                each = np.concatenate([[0], np.cumsum(np.asarray(places.value_lengths()))])
-                lists = pa.ListArray.from_arrays(pa.array(ends[each].astype(np.int32)), taken.flatten())
-                for start in range(0, len(rows), OUT_ROWS):
-                    ids = lists.slice(start, OUT_ROWS)
-                    made = [f(ids) for f, c in ((lambda x: _decoded(x, texts), decoded_col), (_packed, packed_col)) if c]
-                    yield pa.RecordBatch.from_arrays([rows.slice(start, OUT_ROWS), ids, *made], names=schema.names)
-
-    return blocks.mapInArrow(assemble, schema).select("row.*", name, *bytes_names)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compiled = regex.compile(pattern)
+        # Of patterns with groups, whole matches are words too.
+        matches = (lambda t: [m[0] for m in compiled.finditer(t)]) if compiled.groups else compiled.findall
+        texts = pa.array(pieces_of.value, pa.binary())
+        for batch in slices(batches, BLOCK_ROWS, block_bytes):
+            rows = batch.column(0)
+            words = _cut(rows.field(place), matches)
+            coded = words.flatten().dictionary_encode()
+            # The ids of the block's own words: first those that are frequent, then the rare.
+            common = lexicon.value.places(coded.dictionary)
+            rare = common < 0
+            at = np.where(rare, (~rare).sum() + np.cumsum(rare), np.cumsum(~rare)) - 1
+            own = merges.value.of_words(coded.dictionary.filter(pa.array(rare)))
+            ids = pa.concat_arrays([frequent.value.take(pa.array(common[~rare])).cast(own.type), own])
+            taken = ids.take(pa.array(at[np.asarray(coded.indices)]))
+            ends = np.concatenate([[0], np.cumsum(np.asarray(taken.value_lengths()))])
+            each = np.concatenate([[0], np.cumsum(np.asarray(words.value_lengths()))])
+            lists = pa.ListArray.from_arrays(pa.array(ends[each], pa.int32()), taken.flatten())
+            for start in range(0, len(rows), OUT_ROWS):
+                some = lists.slice(start, OUT_ROWS)
+                made = [f(some) for f, c in ((lambda x: _decoded(x, texts), decoded_col), (_packed, packed_col)) if c]
+                yield pa.RecordBatch.from_arrays([rows.slice(start, OUT_ROWS), some, *made], names=schema.names)
+
+    return row.mapInArrow(run, schema).select("row.*", name, *bytes_names)
 
 
 def _pieces(ranks: dict[bytes, int]) -> list[bytes | None]:

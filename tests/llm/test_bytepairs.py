@@ -7,6 +7,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -44,6 +45,35 @@ def test_heap_gives_the_ids_of_the_library(known, ranks):
             assert bytepairs.heap_merges(word, ranks) == known._core_bpe.encode_single_piece(word)
 
 
+def test_merges_of_many_words_are_those_of_each(ranks, known, monkeypatch):
+    rng = random.Random(2)
+    words = ["".join(rng.choice("etaoin shrdluabc0é漢!") for _ in range(rng.randrange(40))) for _ in range(3_000)]
+    words += ["a" * 255, "ab" * 128, "x" * 257, "ab" * 400, "", "e"]
+    pieces = list(ranks)
+    # Ranks in any order: what is joined later may have a lesser rank, and pieces that no merges reach.
+    mixed = {bytes([b]): i for i, b in enumerate(rng.sample(range(256), 256))}
+    mixed |= {p: 256 + i for i, p in enumerate(rng.sample([p for p in pieces if len(p) > 1], 20_000))}
+    for bound in (bytepairs.MERGED_BYTES, 100):
+        monkeypatch.setattr(bytepairs, "MERGED_BYTES", bound)
+        for vocabulary in (ranks, mixed, {bytes([b]): b for b in range(256)}):
+            merges = bytepairs.Merges(vocabulary)
+            got = merges.of_words(pa.array(words)).to_pylist()
+            assert got == [bytepairs.heap_merges(w.encode(), vocabulary) for w in words]
+            assert merges.of_words(pa.array([], pa.string())).to_pylist() == []
+    got = bytepairs.Merges(ranks).of_words(pa.array(words)).to_pylist()
+    assert got == [known._core_bpe.encode_single_piece(w.encode()) if w else [] for w in words]
+
+
+def test_spark_holds_single_documents(spark, ranks):
+    """Documents go to Python once, each a row without its words; no row has a whole block of them."""
+    docs = spark.createDataFrame([(i, f"some words {i}") for i in range(50)], "id int, text string")
+    made = bytepairs.encode(docs, ranks, PATTERN, decoded_col="decoded", packed_col="packed")
+    said = made._jdf.queryExecution().analyzed().toString()
+    assert said.count("MapInArrow") == 1 and "lambda" not in said and "regexp" not in said
+    grouped = bytepairs.encode(docs, ranks, f"({PATTERN})")
+    assert sorted(grouped.collect()) == sorted(made.select("id", "text", "ids").collect()) and made.count() == 50
+
+
 @pytest.mark.parametrize("most, block", [(0, 3_000), (40, 1 << 25), (1 << 18, 1 << 25)])
 def test_ids_are_those_of_the_library(spark, known, ranks, most, block):
     said = NASTY + [(i, t, "s", 0, "h") for i, t in enumerate(odd_texts(), 10)]
